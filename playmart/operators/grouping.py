@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def n_rows() -> Column:
+    return F.count(F.lit(1))
+
+
 def attach(
     rows: DataFrame,
     facts: DataFrame,
@@ -132,5 +136,5 @@ def first_pairs(
 
 def duplicate_groups(rows: DataFrame, copies_as: str = "copies") -> DataFrame:
     """Distinct rows that occur more than once, with the number of copies."""
-    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(copies_as))
+    counted = rows.groupBy(*rows.columns).agg(n_rows().alias(copies_as))
     return counted.where(F.col(copies_as) > 1)

@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.functions import calendar as cal
-from playmart.functions.casts import to_decimal, to_long
+from playmart.functions.casts import to_decimal
 from playmart.operators.grouping import (
     attach,
     duplicate_groups,
     first_pairs,
     keep_first_groups,
     keep_groups,
+    n_rows,
     several,
 )
 from playmart.plans.dims import dim_time, plays
 from playmart.plans.facts import fact_songplays
 from playmart.plans.identity import PAIR, artist_pairs
 
-ROWS = F.count(F.lit(1))
-
 
 def _ordered(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
@@ -32,7 +33,7 @@ def _ordered(rows: DataFrame, *columns: str) -> DataFrame:
 def artist_counts(songs: DataFrame) -> DataFrame:
     """Distinct pairs, names and ids."""
     return artist_pairs(songs).agg(
-        ROWS.alias("artists_count"),
+        n_rows().alias("artists_count"),
         F.count_distinct("artist_name").alias("artist_name_count"),
         F.count_distinct("artist_id").alias("artist_id_count"),
     )
@@ -59,17 +60,17 @@ def ids_sharing_name(songs: DataFrame, n: int = 10, names: list[str] | None = No
 
 
 def names_per_id(songs: DataFrame) -> DataFrame:
-    return artist_pairs(songs).groupBy("artist_id").agg(ROWS.alias("artist_name_count"))
+    return artist_pairs(songs).groupBy("artist_id").agg(n_rows().alias("artist_name_count"))
 
 
 def ids_per_name(songs: DataFrame) -> DataFrame:
-    return artist_pairs(songs).groupBy("artist_name").agg(ROWS.alias("artist_id_count"))
+    return artist_pairs(songs).groupBy("artist_name").agg(n_rows().alias("artist_id_count"))
 
 
 def multi_name_ids_summary(songs: DataFrame) -> DataFrame:
     """How many ids have several names, and how many names those are."""
     return names_per_id(songs).where("artist_name_count > 1").agg(
-        ROWS.alias("artist_id_count"),
+        n_rows().alias("artist_id_count"),
         F.sum("artist_name_count").alias("artist_name_count"),
     )
 
@@ -84,11 +85,11 @@ def names_with_most_ids(songs: DataFrame, n: int = 15) -> DataFrame:
 
 
 def single_name_id_count(songs: DataFrame) -> DataFrame:
-    return names_per_id(songs).where("artist_name_count = 1").agg(ROWS.alias("artist_id_count"))
+    return names_per_id(songs).where("artist_name_count = 1").agg(n_rows().alias("artist_id_count"))
 
 
 def single_id_name_count(songs: DataFrame) -> DataFrame:
-    return ids_per_name(songs).where("artist_id_count = 1").agg(ROWS.alias("artist_name_count"))
+    return ids_per_name(songs).where("artist_id_count = 1").agg(n_rows().alias("artist_name_count"))
 
 
 def clean_pairs(songs: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def clean_pairs(songs: DataFrame) -> DataFrame:
 
 
 def clean_pair_count(songs: DataFrame) -> DataFrame:
-    return clean_pairs(songs).agg(ROWS.alias("pair_count"))
+    return clean_pairs(songs).agg(n_rows().alias("pair_count"))
 
 
 def pair_flags_sample(flags: DataFrame, n: int = 10) -> DataFrame:
@@ -148,8 +149,8 @@ def located_rows_page(
 def step_progress(spark: SparkSession, flags: DataFrame, working: DataFrame) -> DataFrame:
     """Number of pairs beside the number of working rows."""
     return spark.range(1).select(
-        flags.agg(ROWS).scalar().alias("pair_count"),
-        working.agg(ROWS).scalar().alias("working_row_count"),
+        flags.agg(n_rows()).scalar().alias("pair_count"),
+        working.agg(n_rows()).scalar().alias("working_row_count"),
     )
 
 
@@ -191,7 +192,7 @@ def resolution_trace(
 
 def unresolved_count(working: DataFrame) -> DataFrame:
     return working.where(F.col("recalculated_artist_id").isNull()).agg(
-        ROWS.alias("unresolved_count")
+        n_rows().alias("unresolved_count")
     )
 
 
@@ -201,7 +202,7 @@ def changed_id_groups(working: DataFrame) -> DataFrame:
     return keep_groups(
         working,
         ["recalculated_artist_id"],
-        (ROWS > 1) & F.coalesce(replaced, F.lit(False)),
+        (n_rows() > 1) & F.coalesce(replaced, F.lit(False)),
     )
 
 
@@ -216,7 +217,7 @@ def names_with_many_final_ids(working: DataFrame) -> DataFrame:
     return (
         final.agg(several("recalculated_artist_id").alias("many"))
         .where("many")
-        .agg(ROWS.alias("name_count"))
+        .agg(n_rows().alias("name_count"))
     )
 
 
@@ -231,7 +232,7 @@ SONG_COLUMNS = ["song_id", "num_songs", "title", "artist_name", "year", "duratio
 
 
 def frequency_table(rows: DataFrame, column: str) -> DataFrame:
-    return rows.groupBy(column).agg(ROWS.alias("row_count"))
+    return rows.groupBy(column).agg(n_rows().alias("row_count"))
 
 
 def text_and_number_range(rows: DataFrame, column: str) -> DataFrame:
@@ -268,11 +269,11 @@ def title_many_artists(songs: DataFrame, offset: int = 210) -> DataFrame:
 
 
 def duplicate_artist_title(songs: DataFrame, offset: int = 2100) -> DataFrame:
-    return songs_of_crowded(songs, ["title", "artist_name"], ROWS > 1, offset=offset)
+    return songs_of_crowded(songs, ["title", "artist_name"], n_rows() > 1, offset=offset)
 
 
 def song_title_count(songs: DataFrame) -> DataFrame:
-    return songs.select("artist_name", "title").distinct().agg(ROWS.alias("song_title_count"))
+    return songs.select("artist_name", "title").distinct().agg(n_rows().alias("song_title_count"))
 
 
 def title_or_artist_lookup(
@@ -290,7 +291,7 @@ def title_or_artist_lookup(
 def null_comparison_count(events: DataFrame) -> DataFrame:
     """The comparison with NULL as written: never true, so always 0."""
     never = F.col("userId") != F.lit(None).cast("string")
-    return events.where(never).agg(ROWS.alias("user_count"))
+    return events.where(never).agg(n_rows().alias("user_count"))
 
 
 def null_user_count(events: DataFrame) -> DataFrame:
@@ -317,18 +318,18 @@ def unmatched_plays(songplays: DataFrame, song_titles: DataFrame) -> DataFrame:
     Plays are counted per (artist, title) before the join.
     """
     played = songplays.groupBy("artist_name", F.col("song_title").alias("title")).agg(
-        ROWS.alias("n")
+        n_rows().alias("n")
     )
     missing = played.join(song_titles, ["artist_name", "title"], "left_anti")
     return missing.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("unmatched_plays"),
-        ROWS.alias("unmatched_titles"),
+        n_rows().alias("unmatched_titles"),
     )
 
 
 def epoch_exploration(events: DataFrame, n: int = 2) -> DataFrame:
     """The staged epoch text beside seconds, interval and timestamp."""
-    seconds = (to_long("ts") / F.lit(1000)).cast("decimal(18,6)")
+    seconds = (to_decimal("ts", 18, 0) * F.lit(Decimal("0.001"))).cast("decimal(18,6)")
     interval = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return _ordered(
         events.select(

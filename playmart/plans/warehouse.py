@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playmart import schemas as S
 from playmart.operators import layout
 from playmart.operators.quality import split_contract
+from playmart.operators.workspace import cut
 from playmart.plans import dims, facts, identity
 from playmart.sources import landing
 
@@ -73,10 +74,9 @@ def build(spark: SparkSession, sources: Sources, root: str, working: bool = Fals
 def _store(
     rows: DataFrame, root: str, table: S.Table, tie_break: tuple[str, ...] = ()
 ) -> None:
-    spark, path = rows.sparkSession, layout.table_path(root, table)
-    candidates = f"{path}_candidates"
-    rows.write.mode("overwrite").parquet(candidates)
-    stored = spark.read.schema(rows.schema).parquet(candidates)
-    complete, rejected = split_contract(stored, table)
+    # Written before it is clustered: range partitioning samples its input first, and
+    # neither the job nor the row numbers should be computed a second time.
+    path = layout.table_path(root, table)
+    complete, rejected = split_contract(cut(rows, table.name), table)
     layout.cluster_by_sortkey(layout.conform(complete, table), path, table.sort_by, tie_break)
     rejected.write.mode("overwrite").parquet(f"{path}_rejects")
