@@ -23,7 +23,7 @@ _EVENT_COLUMNS = {
     "lastName": "split_part(c_name, '#', 2)",
     "length": "CAST(CAST(value AS DECIMAL(19,4)) AS STRING)",
     "level": "CASE WHEN value >= 20 THEN 'paid' ELSE 'free' END",
-    "location": "n_name || ', ' || r_name",
+    "location": "r_name || ', ' || n_name",
     "method": "'PUT'",
     "page": "CASE WHEN event_type IN ('view', 'click') THEN 'NextSong' ELSE event_type END",
     "registration": "CAST(NULL AS STRING)",
@@ -38,7 +38,8 @@ _EVENT_COLUMNS = {
 _PEOPLE_COLUMNS = {"firstName", "lastName", "location"}
 
 _SONG_COLUMNS = {
-    "song_id": "'SO' || CAST(o_orderkey - o_orderkey % 3 AS STRING)",
+    "song_id": "'SO' || CAST(CASE WHEN o_orderkey % 5 < 3 THEN o_orderkey - o_orderkey % 3 "
+    "ELSE o_orderkey END AS STRING)",
     "num_songs": "CASE WHEN o_orderkey % 10 = 0 THEN '2' ELSE '1' END",
     "title": "CASE WHEN o_orderkey % 4 = 0 THEN 'Song ' || CAST(o_orderkey % 50 AS STRING) "
     "ELSE 'Song ' || CAST(o_custkey AS STRING) || '-' || CAST(o_orderkey % 3 AS STRING) END",

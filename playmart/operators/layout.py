@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from playmart.operators.grouping import attach, n_rows
 from playmart.operators.workspace import cut
 from playmart.schemas import Table
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_FILES = 100_000
 
 
 def table_path(root: str, table: Table) -> str:
@@ -92,8 +94,8 @@ def cluster_by_sortkey(
 
 def hot_keys(rows: DataFrame, key: str, buckets: int) -> DataFrame:
     """Key values that hold more rows than an even bucket: fewer than ``buckets`` of them."""
-    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+    counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(n_rows().alias("n"))
+    total = rows.agg(n_rows().alias("total")).scalar()
     return counted.where(F.col("n") * buckets > total).select(key)
 
 
@@ -152,15 +154,16 @@ def dense_key(rows: DataFrame, name: str) -> DataFrame:
         F.col("_metadata.row_index").alias("__index"),
         *rows.columns,
     )
-    counts = placed.groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    counts = placed.groupBy("__file").agg(n_rows().alias("__n"))
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        F.col("__file").alias("__of"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
-    )
-    return placed.join(offsets, F.col("__file") == F.col("__of")).select(
-        (F.col("__before") + F.col("__index")).alias(name), *rows.columns
+        "__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
+    if len(stored.inputFiles()) <= BROADCAST_FILES:
+        numbered = placed.join(F.broadcast(offsets), "__file")
+    else:
+        numbered = attach(placed, offsets, ["__file"], how="inner")
+    return numbered.select((F.col("__before") + F.col("__index")).alias(name), *rows.columns)
 
 
 def _empty(spark: SparkSession, table: Table) -> DataFrame:

@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder on one machine only."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder; a temporary folder only on a single machine."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="playmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="playmart-"))
+    return context.getCheckpointDir()
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.casts import numeric_score, present_score, text_score, to_decimal
-from playmart.operators.grouping import attach, best_field, pick_best
+from playmart.operators.grouping import attach, best_field, n_rows, pick_best
 from playmart.operators.workspace import cut
 from playmart.schemas import STAGING_ARTIST_NAMES
 
@@ -71,11 +71,14 @@ def artist_pairs(rows: DataFrame) -> DataFrame:
 
 
 def artist_id_name_flags(rows: DataFrame) -> DataFrame:
-    """Distinct (id, name) pairs with a flag for many names per id and many ids per name."""
-    pairs = artist_pairs(rows)
-    many_names = pairs.groupBy("artist_id").agg((F.count(F.lit(1)) > 1).alias("many_names"))
-    many_ids = pairs.groupBy("artist_name").agg((F.count(F.lit(1)) > 1).alias("many_ids"))
-    flagged = attach(attach(pairs, many_names, ["artist_id"]), many_ids, ["artist_name"])
+    """Distinct (id, name) pairs with a flag for many names per id and many ids per name.
+
+    The pairs are written once: three branches read them, and they are far fewer than
+    the rows they come from.
+    """
+    pairs = cut(artist_pairs(rows), "artist-pairs")
+    many_ids = pairs.groupBy("artist_name").agg((n_rows() > 1).alias("many_ids"))
+    flagged = attach(attach(pairs, _many_names(pairs), ["artist_id"]), many_ids, ["artist_name"])
     return flagged.select(
         *PAIR,
         _flag("many_names").alias("multiple_name_indicator"),
@@ -106,6 +109,14 @@ def best_attributes(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def pair_table(songs: DataFrame) -> DataFrame:
+    """Written once per job: the (id, name) pairs with their best attributes.
+
+    This is the only pass over the song rows; every later step works on pairs.
+    """
+    return cut(best_attributes(typed_artist_rows(songs), PAIR), "artist-pairs")
+
+
 # --- step form ---------------------------------------------------------------------
 
 
@@ -115,23 +126,22 @@ def steps_1_to_4(songs: DataFrame) -> DataFrame:
     The step number is the pair's class: 1 neither flag, 2 only many names, 3 only many
     ids, 4 both. Only step 4 ever finds an earlier row of its name to inherit from.
     """
-    pairs = best_attributes(typed_artist_rows(songs), PAIR)
-    names_per_id = artist_pairs(songs).groupBy("artist_id").agg(
-        (F.count(F.lit(1)) > 1).alias("many_names")
-    )
-    flagged = attach(pairs, names_per_id, ["artist_id"]).withColumn(
-        "multiple_name_indicator", _flag("many_names")
-    )
-    flagged = cut(flagged, "artist-pairs")
-    per_name = flagged.groupBy("artist_name").agg(
-        (F.count(F.lit(1)) > 1).alias("many_ids"),
-        F.max(F.when(F.col("multiple_name_indicator") == 0, F.col("artist_id"))).alias("settled"),
+    pairs = pair_table(songs)
+    per_name = (
+        _offers(pairs.select(*PAIR))
+        .groupBy("artist_name")
+        .agg(
+            (F.count_if(~F.col("is_offer")) > 1).alias("many_ids"),
+            F.max("settled_id").alias("settled_id"),
+        )
     )
-    both = attach(flagged, per_name, ["artist_name"]).withColumn(
+    both = attach(attach(pairs, _many_names(pairs), ["artist_id"]), per_name, ["artist_name"])
+    both = both.withColumn("multiple_name_indicator", _flag("many_names")).withColumn(
         "multiple_id_indicator", _flag("many_ids")
     )
     step = 1 + F.col("multiple_name_indicator") + 2 * F.col("multiple_id_indicator")
-    inherited = F.when(step == 4, F.coalesce("settled", "artist_id")).otherwise(F.col("artist_id"))
+    own = F.col("artist_id")
+    inherited = F.when(step == 4, F.coalesce("settled_id", own)).otherwise(own)
     return both.select(
         F.col("artist_id").alias("original_artist_id"),
         "artist_name",
@@ -181,12 +191,7 @@ def working_rows(songs: DataFrame) -> DataFrame:
 
 def resolve_artist_ids(songs: DataFrame) -> DataFrame:
     """name -> recalculated id, in two grouped aggregations and no join."""
-    ids = songs.select(*PAIR)
-    offers = ids.select(
-        "artist_name", "artist_id", F.lit(None).cast("string").alias("settled_id")
-    ).unionByName(
-        _single_name_ids(songs).withColumn("artist_id", F.lit(None).cast("string"))
-    )
+    offers = _offers(cut(artist_pairs(songs), "artist-pairs"))
     return (
         offers.where(F.col("artist_name").isNotNull())
         .groupBy("artist_name")
@@ -196,25 +201,12 @@ def resolve_artist_ids(songs: DataFrame) -> DataFrame:
 
 def resolved_names(songs: DataFrame) -> DataFrame:
     """Per name: its resolved id and the best attributes among its own (id, name) pairs."""
-    pairs = best_attributes(
-        typed_artist_rows(songs).where(F.col("artist_name").isNotNull()), PAIR
-    )
-    # A settled-id row has no attributes; its score of 0 never displaces a pair's value.
-    offers = pairs.withColumn("settled_id", F.lit(None).cast("string")).unionByName(
-        _single_name_ids(songs), allowMissingColumns=True
-    )
+    # An offered id comes without attributes; its score of 0 never displaces a pair's value.
+    offers = _offers(pair_table(songs)).where(F.col("artist_name").isNotNull())
     picked = offers.groupBy("artist_name").agg(
-        _resolved().alias("recalculated_artist_id"),
-        pick_best(_coordinates_present(), "artist_latitude", "artist_longitude").alias("geo"),
-        pick_best(text_score("artist_location"), "artist_location").alias("place"),
-    )
-    return picked.select(
-        "artist_name",
-        "recalculated_artist_id",
-        best_field("geo", "artist_latitude").alias("artist_latitude"),
-        best_field("geo", "artist_longitude").alias("artist_longitude"),
-        best_field("place", "artist_location").alias("artist_location"),
+        _resolved().alias("recalculated_artist_id"), *_pick_present()
     )
+    return picked.select("artist_name", "recalculated_artist_id", *_picked_attributes())
 
 
 def dim_artist_names(songs: DataFrame) -> DataFrame:
@@ -241,40 +233,48 @@ def dim_artist_names(songs: DataFrame) -> DataFrame:
     )
 
 
-def _single_name_ids(songs: DataFrame) -> DataFrame:
-    """(name, id) for ids that carry exactly one name; a NULL name is a name too."""
-    per_id = (
-        songs.where(F.col("artist_id").isNotNull())
+def _many_names(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("artist_id").agg((n_rows() > 1).alias("many_names"))
+
+
+def _offers(pairs: DataFrame) -> DataFrame:
+    """The pairs, plus a ``settled_id`` row for every id that carries one name only.
+
+    A NULL name counts as a name of its id. Grouping the result by name answers both
+    what ids the name has and which of them belong to no other name.
+    """
+    settled = (
+        pairs.where(F.col("artist_id").isNotNull())
         .groupBy("artist_id")
-        .agg(
-            F.min("artist_name").alias("artist_name"),
-            F.max("artist_name").alias("last_name"),
-            F.max(F.col("artist_name").isNull()).alias("unnamed"),
-        )
-        .where((F.col("artist_name") == F.col("last_name")) & ~F.col("unnamed"))
+        .agg(n_rows().alias("names"), F.min("artist_name").alias("artist_name"))
+        .where("names = 1 and artist_name is not null")
+        .select("artist_name", F.col("artist_id").alias("settled_id"), F.lit(True).alias("is_offer"))
     )
-    return per_id.select("artist_name", F.col("artist_id").alias("settled_id"))
+    return pairs.withColumn("is_offer", F.lit(False)).unionByName(settled, allowMissingColumns=True)
 
 
 def _resolved() -> Column:
     return F.coalesce(F.max("settled_id"), F.max("artist_id"))
 
 
-def _coordinates_present() -> Column:
-    return present_score("artist_latitude") + present_score("artist_longitude")
+def _pick_present() -> list[Column]:
+    coordinates = present_score("artist_latitude") + present_score("artist_longitude")
+    return [
+        pick_best(coordinates, "artist_latitude", "artist_longitude").alias("geo"),
+        pick_best(text_score("artist_location"), "artist_location").alias("place"),
+    ]
 
 
-def _best_present(rows: DataFrame, key: str) -> DataFrame:
-    picked = rows.groupBy(key).agg(
-        pick_best(_coordinates_present(), "artist_latitude", "artist_longitude").alias("geo"),
-        pick_best(text_score("artist_location"), "artist_location").alias("place"),
-    )
-    return picked.select(
-        key,
+def _picked_attributes() -> list[Column]:
+    return [
         best_field("geo", "artist_latitude").alias("artist_latitude"),
         best_field("geo", "artist_longitude").alias("artist_longitude"),
         best_field("place", "artist_location").alias("artist_location"),
-    )
+    ]
+
+
+def _best_present(rows: DataFrame, key: str) -> DataFrame:
+    return rows.groupBy(key).agg(*_pick_present()).select(key, *_picked_attributes())
 
 
 def _as_step(rows: DataFrame, step: int) -> DataFrame:

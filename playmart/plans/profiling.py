@@ -18,6 +18,7 @@ from playmart.operators.grouping import (
     n_rows,
     several,
 )
+from playmart.operators.workspace import cut
 from playmart.plans.dims import dim_time, plays
 from playmart.plans.facts import fact_songplays
 from playmart.plans.identity import PAIR, artist_pairs
@@ -94,10 +95,11 @@ def single_id_name_count(songs: DataFrame) -> DataFrame:
 
 def clean_pairs(songs: DataFrame) -> DataFrame:
     """Pairs whose id has no other name and whose name has no other id."""
-    crowded_ids = names_per_id(songs).where("artist_name_count > 1").select("artist_id")
-    crowded_names = ids_per_name(songs).where("artist_id_count > 1").select("artist_name")
-    pairs = attach(artist_pairs(songs), crowded_ids, ["artist_id"], "left_anti")
-    return attach(pairs, crowded_names, ["artist_name"], "left_anti")
+    pairs = cut(artist_pairs(songs), "artist-pairs")
+    crowded_ids = names_per_id(pairs).where("artist_name_count > 1").select("artist_id")
+    crowded_names = ids_per_name(pairs).where("artist_id_count > 1").select("artist_name")
+    clean = attach(pairs, crowded_ids, ["artist_id"], "left_anti")
+    return attach(clean, crowded_names, ["artist_name"], "left_anti")
 
 
 def clean_pair_count(songs: DataFrame) -> DataFrame:

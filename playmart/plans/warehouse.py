@@ -25,13 +25,19 @@ class Sources:
 
 
 def land(spark: SparkSession, sources: Sources, root: str) -> None:
-    """Parse the JSON objects into the two staging tables."""
-    events = landing.parse_events(
-        landing.read_lines(spark, sources.events), sources.event_paths, sources.on_error
-    )
-    songs = landing.parse_songs(landing.read_lines(spark, sources.songs), sources.on_error)
+    """Parse the JSON objects into the two staging tables.
+
+    With ``on_error='skip'`` the refused lines are kept in ``load_errors``.
+    """
+    event_lines = landing.read_lines(spark, sources.events)
+    song_lines = landing.read_lines(spark, sources.songs)
+    events = landing.parse_events(event_lines, sources.event_paths, sources.on_error)
+    songs = landing.parse_songs(song_lines, sources.on_error)
     layout.replace_table(events, root, S.STAGING_EVENTS)
     layout.replace_table(songs, root, S.STAGING_SONGS)
+    if sources.on_error == "skip":
+        refused = landing.load_errors(event_lines.unionByName(song_lines))
+        refused.write.mode("overwrite").parquet(f"{root}/load_errors")
 
 
 def build_working_tables(spark: SparkSession, root: str) -> None:

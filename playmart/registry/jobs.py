@@ -21,7 +21,7 @@ def artist_rows(spark, sf_dir):
 
 @query("artist_id_name_flags", "SELECT * FROM id_name")
 def artist_id_name_flags(spark, sf_dir):
-    return identity.artist_id_name_flags(artist_rows(spark, sf_dir))
+    return identity.artist_id_name_flags(staging_songs(spark, sf_dir))
 
 
 def _one_step(step):

@@ -332,7 +332,8 @@ WHERE EXISTS (SELECT 1 FROM id_name WHERE multiple_id_indicator = 1)
 )
 def uncorrelated_exists(spark, sf_dir):
     rows = identity.artist_rows(songs(spark, sf_dir))
-    shared = identity.artist_id_name_flags(rows).where("multiple_id_indicator = 1").exists()
+    flags = identity.artist_id_name_flags(songs(spark, sf_dir))
+    shared = flags.where("multiple_id_indicator = 1").exists()
     return rows.where(shared & F.col("artist_latitude").isNotNull()).select(
         "artist_id", "artist_name", "artist_latitude"
     )

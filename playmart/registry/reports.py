@@ -30,7 +30,7 @@ def rows(spark, sf_dir):
 
 
 def flags(spark, sf_dir):
-    return identity.artist_id_name_flags(rows(spark, sf_dir))
+    return identity.artist_id_name_flags(songs(spark, sf_dir))
 
 
 def working(spark, sf_dir):
@@ -208,8 +208,7 @@ ORDER BY artist_name NULLS LAST, artist_id NULLS LAST, artist_latitude NULLS LAS
 LIMIT 10 OFFSET 900""",
 )
 def located_rows_page(spark, sf_dir):
-    artist_rows = rows(spark, sf_dir)
-    return profiling.located_rows_page(artist_rows, identity.artist_id_name_flags(artist_rows))
+    return profiling.located_rows_page(rows(spark, sf_dir), flags(spark, sf_dir))
 
 
 @query(

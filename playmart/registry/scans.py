@@ -41,14 +41,21 @@ def mixed_lines(spark, sf_dir):
     )
 
 
+def stored_lines(lines):
+    """The lines as objects in the shared folder, read back the way a source is."""
+    path = workspace.fresh_dir(lines.sparkSession, "objects")
+    lines.write.text(path)
+    return landing.read_lines(lines.sparkSession, path)
+
+
 @query("scan_events_jsonpaths", "SELECT * FROM staging_events")
 def scan_events_jsonpaths(spark, sf_dir):
-    return landing.parse_events(event_lines(spark, sf_dir), on_error="fail")
+    return landing.parse_events(stored_lines(event_lines(spark, sf_dir)), on_error="fail")
 
 
 @query("scan_songs_ignorecase", "SELECT * FROM staging_songs")
 def scan_songs_ignorecase(spark, sf_dir):
-    return landing.parse_songs(song_lines(spark, sf_dir), on_error="fail")
+    return landing.parse_songs(stored_lines(song_lines(spark, sf_dir)), on_error="fail")
 
 
 @query(
@@ -107,7 +114,8 @@ SELECT 'staging_songs', (SELECT count(*) * 2 FROM orders), (SELECT count(*) FROM
   (SELECT count(*) * 2 FROM orders) = (SELECT count(*) FROM staging_songs)""",
 )
 def reconcile_counts(spark, sf_dir):
-    events, songs = event_lines(spark, sf_dir), song_lines(spark, sf_dir)
+    events = stored_lines(event_lines(spark, sf_dir))
+    songs = stored_lines(song_lines(spark, sf_dir))
     return objects.reconcile_counts(
         {
             STAGING_EVENTS.name: (landing.non_blank(events), landing.parse_events(events)),
