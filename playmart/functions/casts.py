@@ -18,7 +18,9 @@ def to_long(c: str | Column) -> Column:
 
 
 def to_decimal(c: str | Column, precision: int, scale: int) -> Column:
-    return _col(c).try_cast(f"decimal({precision},{scale})")
+    """Blank text is kept from the decimal parser, which is slow at refusing it."""
+    filled = F.when(F.trim(_col(c)) != "", _col(c))
+    return filled.try_cast(f"decimal({precision},{scale})")
 
 
 def numeric_score(c: str | Column) -> Column:

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+REPORT_ROWS = 100_000
+
+
 def n_rows() -> Column:
     return F.count(F.lit(1))
 
@@ -52,8 +55,9 @@ def keep_first_groups(rows: DataFrame, keys: list[str], having: Column, n: int)
     """Rows of the ``n`` smallest keys whose group satisfies ``having``.
 
     Enough for any report that sorts by the keys and stops within ``n`` rows, because
-    every kept group has at least one row. The key list is at most ``n`` rows, so
-    broadcasting it is bounded by the report size and the rows need no shuffle.
+    every kept group has at least one row. The key list has at most ``n`` rows; up to
+    ``REPORT_ROWS`` it is broadcast and the rows need no shuffle, beyond that it is
+    joined like any other facts.
     """
     groups = (
         rows.groupBy(*keys)
@@ -63,6 +67,8 @@ def keep_first_groups(rows: DataFrame, keys: list[str], having: Column, n: int)
         .orderBy(*[F.col(k).asc_nulls_last() for k in keys])
         .limit(n)
     )
+    if n > REPORT_ROWS:
+        return attach(rows, groups, keys, "left_semi")
     return rows.join(F.broadcast(groups), keys, "left_semi")
 
 

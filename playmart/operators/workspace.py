@@ -9,10 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary folder only on a single machine."""
     context = spark.sparkContext
@@ -27,7 +33,25 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared root that nothing has used before."""
-    return f"{shared_root(spark)}/playmart-{label}-{uuid.uuid4().hex}"
+    root = _scratch.get() or shared_root(spark)
+    return f"{root}/playmart-{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Folders made inside the block lie under one folder that goes away at its end.
+
+    For jobs that store their results elsewhere; frames built on a cut must be written
+    before the block ends.
+    """
+    root = fresh_dir(spark, "scratch")
+    token = _scratch.set(root)
+    try:
+        yield root
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -28,6 +28,7 @@ from playmart.operators.workspace import cut
 from playmart.schemas import STAGING_ARTIST_NAMES
 
 PAIR = ["artist_id", "artist_name"]
+ARTIST_TEXTS = [*PAIR, "artist_latitude", "artist_longitude", "artist_location"]
 
 
 def typed_artist_rows(songs: DataFrame) -> DataFrame:
@@ -112,9 +113,12 @@ def best_attributes(rows: DataFrame, keys: list[str]) -> DataFrame:
 def pair_table(songs: DataFrame) -> DataFrame:
     """Written once per job: the (id, name) pairs with their best attributes.
 
-    This is the only pass over the song rows; every later step works on pairs.
+    This is the only pass over the song rows; every later step works on pairs. Equal
+    artist texts collapse first, in a hash aggregate, so that casts, patterns and the
+    sort-based pick see each variant once instead of once per song.
     """
-    return cut(best_attributes(typed_artist_rows(songs), PAIR), "artist-pairs")
+    variants = songs.select(*ARTIST_TEXTS).distinct()
+    return cut(best_attributes(typed_artist_rows(variants), PAIR), "artist-pairs")
 
 
 # --- step form ---------------------------------------------------------------------

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from playmart import schemas as S
 from playmart.operators import layout
 from playmart.operators.quality import split_contract
-from playmart.operators.workspace import cut
+from playmart.operators.workspace import cut, scratch
 from playmart.plans import dims, facts, identity
 from playmart.sources import landing
 
@@ -71,10 +72,42 @@ def build_marts(spark: SparkSession, root: str) -> None:
 
 def build(spark: SparkSession, sources: Sources, root: str, working: bool = False) -> None:
     """Run everything; running it again replaces all tables."""
-    land(spark, sources, root)
-    if working:
-        build_working_tables(spark, root)
-    build_marts(spark, root)
+    with scratch(spark):
+        land(spark, sources, root)
+        if working:
+            build_working_tables(spark, root)
+        build_marts(spark, root)
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Name the stored tables for ``spark.sql``; returns the names."""
+    names = []
+    for table in S.ALL_TABLES.values():
+        try:
+            rows = layout.read_table(spark, root, table)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        rows.createOrReplaceTempView(table.name)
+        names.append(table.name)
+    return names
+
+
+def colocate(spark: SparkSession, root: str, buckets: int, prefix: str = "colocated_") -> None:
+    """Save fact and song titles once more, bucketed on the title for shuffle-free joins."""
+    tables = (S.SONGPLAYS, S.SONG_TITLES)
+    names = tuple(prefix + t.name for t in tables)
+    layout.write_colocated(
+        layout.read_table(spark, root, S.SONGPLAYS),
+        S.SONGPLAYS.spread_by,
+        S.SONGPLAYS.key[0],
+        layout.read_table(spark, root, S.SONG_TITLES),
+        S.SONG_TITLES.spread_by,
+        names,
+        tuple(f"{root.rstrip('/')}/{n}" for n in names),
+        buckets,
+    )
 
 
 def _store(

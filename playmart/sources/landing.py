@@ -88,7 +88,8 @@ def _objects(lines: DataFrame, on_error: str) -> DataFrame:
     if on_error == "skip":
         return checked.where(F.col("reason").isNull())
     if on_error == "fail":
-        message = F.concat(F.lit("bad line ("), F.col("reason"), F.lit("): "), F.col("value"))
+        place = F.col("file_path") if "file_path" in lines.columns else F.lit("line")
+        message = F.concat_ws(": ", F.lit("bad line"), "reason", place, "value")
         guarded = F.when(F.col("reason").isNull(), F.col(_PARSED)).otherwise(
             F.raise_error(message).cast("variant")
         )

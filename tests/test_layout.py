@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from playmart import schemas as S
+from playmart.__main__ import main
 from playmart.operators import layout, quality, workspace
 from playmart.plans import warehouse
 from tests.conftest import rows_of
@@ -174,6 +176,32 @@ def test_build_is_repeatable_and_sets_bad_rows_aside(spark, tmp_path):
         assert spark.read.parquet(f"{root}/{table}_rejects").count() == rejected
 
 
+def test_stored_tables_answer_sql_and_scratch_is_gone(spark, tmp_path):
+    log, songs = write_sources(tmp_path)
+    root = str(tmp_path / "out")
+    main(["create", "--out", root])
+    main(["build", "--events", log, "--songs", songs, "--out", root])
+    names = warehouse.register_views(spark, root)
+    assert sorted(names) == sorted(S.ALL_TABLES)
+    answer = spark.sql(
+        """
+        SELECT u.first_name || ' ' || u.last_name AS full_name, count(sp.start_time) AS n
+        FROM songplays sp LEFT JOIN users u ON sp.user_id = u.user_id
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 2
+        """
+    )
+    assert [tuple(r) for r in answer.collect()] == [("F 1", 1), ("F 2", 1)]
+    assert warehouse.register_views(spark, str(tmp_path / "nowhere")) == []
+    with workspace.scratch(spark) as folder:
+        kept = workspace.cut(spark.range(3))
+        assert kept.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    warehouse.colocate(spark, root, buckets=2)
+    plays = spark.table("colocated_songplays")
+    titles = spark.table("colocated_song_titles").withColumnRenamed("title", "song_title")
+    assert plays.join(titles.drop("artist_name"), ["song_title", "salt"]).count() == 3
+
+
 def test_build_fails_on_a_bad_line_or_keeps_it_aside(spark, tmp_path):
     log, songs = write_sources(tmp_path, '{"page":\n')
     root = str(tmp_path / "out")
