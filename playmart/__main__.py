@@ -22,6 +22,7 @@ def main(arguments: list[str] | None = None) -> None:
     build.add_argument("--songs", required=True, help="prefix of the song objects")
     build.add_argument("--on-error", choices=("fail", "skip"), default="fail")
     build.add_argument("--working", action="store_true", help="also keep the artist steps")
+    build.add_argument("--dense-keys", action="store_true", help="number plays without gaps")
     chosen = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("playmart").getOrCreate()
@@ -29,7 +30,7 @@ def main(arguments: list[str] | None = None) -> None:
         create_tables(spark, chosen.out, list(ALL_TABLES.values()))
     else:
         sources = warehouse.Sources(chosen.events, chosen.songs, on_error=chosen.on_error)
-        warehouse.build(spark, sources, chosen.out, chosen.working)
+        warehouse.build(spark, sources, chosen.out, chosen.working, chosen.dense_keys)
 
 
 if __name__ == "__main__":

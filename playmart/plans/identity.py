@@ -177,7 +177,10 @@ def step_5(first_four: DataFrame) -> DataFrame:
 
 
 def step_6(fifth: DataFrame) -> DataFrame:
-    """Best coordinates and location per recalculated id, by what is present."""
+    """Best coordinates and location per recalculated id, by what is present.
+
+    ``fifth`` is read twice, so hand in a stored table.
+    """
     per_id = _best_present(fifth, "recalculated_artist_id")
     rows = fifth.drop("artist_latitude", "artist_longitude", "artist_location")
     return _as_step(attach(rows, per_id, ["recalculated_artist_id"], nulls_match=True), 6)
@@ -186,7 +189,7 @@ def step_6(fifth: DataFrame) -> DataFrame:
 def working_rows(songs: DataFrame) -> DataFrame:
     """All six steps in one table, as each was appended."""
     first_four = cut(steps_1_to_4(songs), "artist-steps")
-    fifth = step_5(first_four)
+    fifth = cut(step_5(first_four), "artist-step-5")
     return first_four.unionByName(fifth).unionByName(step_6(fifth))
 
 

@@ -50,11 +50,11 @@ def build_working_tables(spark: SparkSession, root: str) -> None:
     layout.replace_table(identity.working_rows(songs), root, S.STAGING_ARTIST_NAMES)
 
 
-def build_marts(spark: SparkSession, root: str) -> None:
+def build_marts(spark: SparkSession, root: str, dense_keys: bool = False) -> None:
     """Dimensions and fact from the staging tables, each written once.
 
     Rows that lack a required column go to ``<table>_rejects`` instead of failing the
-    build or slipping in.
+    build or slipping in. The fact key has gaps unless ``dense_keys`` asks for 0, 1, 2, ...
     """
     events = layout.read_table(spark, root, S.STAGING_EVENTS)
     songs = layout.read_table(spark, root, S.STAGING_SONGS)
@@ -62,25 +62,33 @@ def build_marts(spark: SparkSession, root: str) -> None:
     _store(dims.dim_song_titles(songs), root, S.SONG_TITLES)
     _store(dims.dim_users(events), root, S.USERS)
     _store(dims.dim_time(events), root, S.TIME)
-    _store(
-        layout.sparse_key(facts.fact_songplays(events), "songplay_id"),
-        root,
-        S.SONGPLAYS,
-        tie_break=("user_id", "songplay_id"),
-    )
-
-
-def build(spark: SparkSession, sources: Sources, root: str, working: bool = False) -> None:
+    plays = facts.fact_songplays(events)
+    if not dense_keys:
+        plays = layout.sparse_key(plays, "songplay_id")
+    _store(plays, root, S.SONGPLAYS, ("user_id", "songplay_id"), dense_keys)
+
+
+def build(
+    spark: SparkSession,
+    sources: Sources,
+    root: str,
+    working: bool = False,
+    dense_keys: bool = False,
+) -> None:
     """Run everything; running it again replaces all tables."""
     with scratch(spark):
         land(spark, sources, root)
         if working:
             build_working_tables(spark, root)
-        build_marts(spark, root)
+        build_marts(spark, root, dense_keys)
+
 
+def register_views(spark: SparkSession, root: str, replicate: bool = False) -> list[str]:
+    """Name the stored tables for ``spark.sql``; returns the names.
 
-def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Name the stored tables for ``spark.sql``; returns the names."""
+    With ``replicate`` the replicated dimensions are measured, and those small enough are
+    marked for broadcasting in every query that joins them.
+    """
     names = []
     for table in S.ALL_TABLES.values():
         try:
@@ -89,6 +97,8 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
+        if replicate and table.replicated:
+            rows = layout.replicate_dim(rows)
         rows.createOrReplaceTempView(table.name)
         names.append(table.name)
     return names
@@ -111,11 +121,17 @@ def colocate(spark: SparkSession, root: str, buckets: int, prefix: str = "coloca
 
 
 def _store(
-    rows: DataFrame, root: str, table: S.Table, tie_break: tuple[str, ...] = ()
+    rows: DataFrame,
+    root: str,
+    table: S.Table,
+    tie_break: tuple[str, ...] = (),
+    number: bool = False,
 ) -> None:
     # Written before it is clustered: range partitioning samples its input first, and
     # neither the job nor the row numbers should be computed a second time.
     path = layout.table_path(root, table)
     complete, rejected = split_contract(cut(rows, table.name), table)
+    if number:
+        complete = layout.dense_key(complete, table.key[0])
     layout.cluster_by_sortkey(layout.conform(complete, table), path, table.sort_by, tie_break)
     rejected.write.mode("overwrite").parquet(f"{path}_rejects")

@@ -45,7 +45,3 @@ class Registry(dict):
             return run
 
         return add
-
-    def same(self, key: str, other: str) -> None:
-        """Register an existing query under a second key."""
-        self[key] = self[other]

@@ -46,7 +46,8 @@ def artist_names_step5(spark, sf_dir):
 
 @query("artist_names_step6", "SELECT * FROM step6")
 def artist_names_step6(spark, sf_dir):
-    return identity.step_6(identity.step_5(first_four(spark, sf_dir)))
+    fifth = identity.step_5(first_four(spark, sf_dir))
+    return identity.step_6(workspace.cut(fifth, "artist-step-5"))
 
 
 @query(

@@ -59,9 +59,11 @@ def artist_after(spark, sf_dir):
 @query(
     "top_users",
     """
-SELECT u.first_name || ' ' || u.last_name AS full_name, count(p.start_time) AS stream_count
-FROM songplays p LEFT JOIN users u ON u.user_id = p.user_id
-GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5""",
+SELECT concat_ws(' ', first_name, last_name) AS full_name,
+  CAST(sum(n) AS BIGINT) AS stream_count
+FROM (SELECT user_id, count(*) AS n FROM songplays GROUP BY user_id)
+JOIN users USING (user_id)
+GROUP BY full_name ORDER BY stream_count DESC, full_name LIMIT 5""",
 )
 def top_users(spark, sf_dir):
     log = events(spark, sf_dir)
@@ -71,9 +73,8 @@ def top_users(spark, sf_dir):
 @query(
     "busiest_hours",
     """
-SELECT t.hour, count(p.start_time) AS stream_count
-FROM songplays p LEFT JOIN time_dim t ON t.time_key = p.start_time_key
-GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5""",
+SELECT CAST(start_time_key % 100 AS INTEGER) AS hour, count(*) AS stream_count
+FROM songplays GROUP BY hour ORDER BY stream_count DESC, hour LIMIT 5""",
 )
 def busiest_hours(spark, sf_dir):
     log = events(spark, sf_dir)

@@ -63,6 +63,8 @@ def _table(name: str, columns: str, required: str = "", **rules) -> Table:
     return Table(name, T.StructType(fields), tuple(required.split()), lengths=lengths, **rules)
 
 
+# Table, column and type names of the staging, working and mart tables.
+
 STAGING_EVENTS = _table(
     "staging_events",
     "artist:text auth:string firstName:string gender:string itemInSession:string "
