@@ -30,8 +30,9 @@ def epoch_millis_to_timestamp(c: str | Column) -> Column:
 
 
 def truncate_to_hour(ts: str | Column) -> Column:
+    no_seconds = F.lit(0).cast("decimal(16,6)")
     return F.make_timestamp_ntz(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0).cast("decimal(16,6)")
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), no_seconds
     )
 
 

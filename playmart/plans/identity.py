@@ -255,7 +255,8 @@ def _offers(pairs: DataFrame) -> DataFrame:
         .groupBy("artist_id")
         .agg(n_rows().alias("names"), F.min("artist_name").alias("artist_name"))
         .where("names = 1 and artist_name is not null")
-        .select("artist_name", F.col("artist_id").alias("settled_id"), F.lit(True).alias("is_offer"))
+        .select("artist_name", F.col("artist_id").alias("settled_id"))
+        .withColumn("is_offer", F.lit(True))
     )
     return pairs.withColumn("is_offer", F.lit(False)).unionByName(settled, allowMissingColumns=True)
 

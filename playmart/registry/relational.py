@@ -38,7 +38,11 @@ def quoted(values):
 # --- projections -------------------------------------------------------------------
 
 
-@query("project_rename", "SELECT song AS song_title, artist AS artist_name, userAgent AS user_agent FROM staging_events")
+@query(
+    "project_rename",
+    "SELECT song AS song_title, artist AS artist_name, userAgent AS user_agent "
+    "FROM staging_events",
+)
 def project_rename(spark, sf_dir):
     return events(spark, sf_dir).select(
         F.col("song").alias("song_title"),
@@ -69,7 +73,8 @@ def lateral_alias(spark, sf_dir):
 
 @query(
     "where_on_alias",
-    f"SELECT artist_id, artist_name AS name FROM staging_songs WHERE artist_name IN ({quoted(SOME_NAMES)})",
+    "SELECT artist_id, artist_name AS name FROM staging_songs "
+    f"WHERE artist_name IN ({quoted(SOME_NAMES)})",
 )
 def where_on_alias(spark, sf_dir):
     named = songs(spark, sf_dir).select("artist_id", F.col("artist_name").alias("name"))
@@ -94,7 +99,8 @@ def _several_or_null(column):
 
 @query(
     "constant_columns",
-    "SELECT artist_id, artist_name, CAST(1 AS INTEGER) AS step, CAST(NULL AS INTEGER) AS flag FROM pairs",
+    "SELECT artist_id, artist_name, CAST(1 AS INTEGER) AS step, CAST(NULL AS INTEGER) AS flag "
+    "FROM pairs",
 )
 def constant_columns(spark, sf_dir):
     return identity.artist_pairs(songs(spark, sf_dir)).select(
@@ -124,7 +130,8 @@ def filter_in_list(spark, sf_dir):
 @query(
     "filter_and_or",
     f"SELECT * FROM id_name WHERE 1 = 1 AND (artist_id IN ({quoted(SOME_IDS)}) "
-    "OR artist_name = 'Various Artists') AND (multiple_name_indicator = 0 OR multiple_id_indicator = 0)",
+    "OR artist_name = 'Various Artists') "
+    "AND (multiple_name_indicator = 0 OR multiple_id_indicator = 0)",
 )
 def filter_and_or(spark, sf_dir):
     flags = identity.artist_id_name_flags(songs(spark, sf_dir))
@@ -157,14 +164,18 @@ def filter_null_tests(spark, sf_dir):
     return rows.where(F.col("artist_latitude").isNotNull() & F.col("artist_location").isNull())
 
 
-@query("filter_null_comparison", "SELECT count(*) AS user_count FROM staging_events WHERE userId <> NULL")
+@query(
+    "filter_null_comparison",
+    "SELECT count(*) AS user_count FROM staging_events WHERE userId <> NULL",
+)
 def filter_null_comparison(spark, sf_dir):
     return profiling.null_comparison_count(events(spark, sf_dir, "userId"))
 
 
 @query(
     "filter_not_blank",
-    "SELECT artist_id, artist_name, artist_location FROM staging_songs WHERE trim(artist_location) <> ''",
+    "SELECT artist_id, artist_name, artist_location FROM staging_songs "
+    "WHERE trim(artist_location) <> ''",
 )
 def filter_not_blank(spark, sf_dir):
     return songs(spark, sf_dir).where(F.trim("artist_location") != "").select(
@@ -341,7 +352,8 @@ def uncorrelated_exists(spark, sf_dir):
 
 @query(
     "scalar_subqueries",
-    "SELECT (SELECT count(*) FROM pairs) AS pair_count, (SELECT count(*) FROM artist_row) AS row_count",
+    "SELECT (SELECT count(*) FROM pairs) AS pair_count, "
+    "(SELECT count(*) FROM artist_row) AS row_count",
 )
 def scalar_subqueries(spark, sf_dir):
     rows = identity.artist_rows(songs(spark, sf_dir))
@@ -353,7 +365,8 @@ def scalar_subqueries(spark, sf_dir):
 
 @query(
     "derived_table",
-    "SELECT step, count(*) AS name_count FROM (SELECT artist_name, max(step) AS step FROM steps14 GROUP BY 1) GROUP BY step",
+    "SELECT step, count(*) AS name_count FROM ("
+    "SELECT artist_name, max(step) AS step FROM steps14 GROUP BY 1) GROUP BY step",
 )
 def derived_table(spark, sf_dir):
     inner = identity.steps_1_to_4(songs(spark, sf_dir)).groupBy("artist_name").agg(
@@ -488,7 +501,8 @@ def max_as_string_then_cast(spark, sf_dir):
 
 @query(
     "group_by_having",
-    "SELECT artist_id, n AS artist_name_count, n > 1 AS crowded FROM names_per_id WHERE n > 1 OR n = 1",
+    "SELECT artist_id, n AS artist_name_count, n > 1 AS crowded FROM names_per_id "
+    "WHERE n > 1 OR n = 1",
 )
 def group_by_having(spark, sf_dir):
     sized = profiling.names_per_id(songs(spark, sf_dir))
@@ -508,7 +522,10 @@ def group_by_expression(spark, sf_dir):
     return marts.plays_per_state(songplays(spark, sf_dir))
 
 
-@query("group_by_multi", "SELECT artist_name, title, count(*) AS n FROM staging_songs GROUP BY 1, 2")
+@query(
+    "group_by_multi",
+    "SELECT artist_name, title, count(*) AS n FROM staging_songs GROUP BY 1, 2",
+)
 def group_by_multi(spark, sf_dir):
     return songs(spark, sf_dir).groupBy("artist_name", "title").agg(n_rows().alias("n"))
 
@@ -534,7 +551,8 @@ def duplicate_groups(spark, sf_dir):
 
 @query(
     "count_of_groups",
-    "SELECT count(*) AS song_title_count FROM (SELECT title, artist_name FROM staging_songs GROUP BY 1, 2)",
+    "SELECT count(*) AS song_title_count FROM ("
+    "SELECT title, artist_name FROM staging_songs GROUP BY 1, 2)",
 )
 def count_of_groups(spark, sf_dir):
     return profiling.song_title_count(songs(spark, sf_dir))
@@ -675,7 +693,8 @@ def limit_n(spark, sf_dir):
 
 @query(
     "limit_offset",
-    "SELECT * FROM id_name ORDER BY artist_name NULLS LAST, artist_id NULLS LAST LIMIT 10 OFFSET 20",
+    "SELECT * FROM id_name ORDER BY artist_name NULLS LAST, artist_id NULLS LAST "
+    "LIMIT 10 OFFSET 20",
 )
 def limit_offset(spark, sf_dir):
     flags = identity.artist_id_name_flags(songs(spark, sf_dir))
@@ -711,8 +730,9 @@ def top_1_per_group(spark, sf_dir):
 @query(
     "null_order",
     "SELECT artist_name, artist_id, artist_latitude FROM artist_row "
-    "ORDER BY artist_latitude DESC NULLS LAST, artist_name ASC NULLS FIRST, artist_id ASC NULLS LAST, "
-    "artist_longitude ASC NULLS LAST, artist_location ASC NULLS LAST LIMIT 100",
+    "ORDER BY artist_latitude DESC NULLS LAST, artist_name ASC NULLS FIRST, "
+    "artist_id ASC NULLS LAST, artist_longitude ASC NULLS LAST, "
+    "artist_location ASC NULLS LAST LIMIT 100",
 )
 def null_order(spark, sf_dir):
     rows = identity.artist_rows(songs(spark, sf_dir))

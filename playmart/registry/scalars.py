@@ -148,9 +148,9 @@ def epoch_millis_to_timestamp(spark, sf_dir):
 @query(
     "extract_parts",
     """
-SELECT start_time, CAST(hour(start_time) AS INTEGER) AS hour, CAST(day(start_time) AS INTEGER) AS day,
-  CAST(week(start_time) AS INTEGER) AS week, CAST(month(start_time) AS INTEGER) AS month,
-  CAST(year(start_time) AS INTEGER) AS year FROM plays""",
+SELECT start_time, CAST(hour(start_time) AS INTEGER) AS hour,
+  CAST(day(start_time) AS INTEGER) AS day, CAST(week(start_time) AS INTEGER) AS week,
+  CAST(month(start_time) AS INTEGER) AS month, CAST(year(start_time) AS INTEGER) AS year FROM plays""",
 )
 def extract_parts(spark, sf_dir):
     ts = "start_time"

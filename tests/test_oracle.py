@@ -38,3 +38,13 @@ def test_query_matches_oracle(spark, settings, db, key):
 
 def test_entry_returns_rows(spark):
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_comparison_notices_names_types_and_rows(spark, db):
+    one = spark.sql("SELECT 1 AS a, 'x' AS b")
+    assert differences(one, db, "SELECT CAST(1 AS INTEGER) AS a, 'x' AS b") == ""
+    assert differences(one, db, "SELECT CAST(1 AS INTEGER) AS a, 'x' AS c").startswith("columns")
+    assert differences(one, db, "SELECT CAST(1 AS BIGINT) AS a, 'x' AS b").startswith("types")
+    assert differences(one, db, "SELECT CAST(2 AS INTEGER) AS a, 'x' AS b").startswith("rows")
+    twice = "SELECT CAST(1 AS INTEGER) AS a, 'x' AS b FROM range(2)"
+    assert differences(one, db, twice).startswith("rows")
