@@ -63,13 +63,21 @@ def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         return 1.0, 0.0
     up, down = y.sum(), len(y) - y.sum()
     target = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
+
+    def loss(a, b):
+        z = a * score + b
+        return float((np.logaddexp(0, z) - target * z).sum())
+
     a, b = 1.0, 0.0
-    for _ in range(50):
+    for _ in range(100):
         p = sigmoid(a * score + b)
         g = np.array([((p - target) * score).sum(), (p - target).sum()])
         q = p * (1 - p)
         h = np.array([[(q * score * score).sum(), (q * score).sum()], [(q * score).sum(), q.sum()]])
         step = np.linalg.solve(h + 1e-6 * len(y) * np.eye(2), g)
+        now = loss(a, b)
+        while np.abs(step).max() > 1e-7 and loss(a - step[0], b - step[1]) > now:
+            step = step / 2
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-7:
             break

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import pii, quality, token_records, toxicity
+from . import html_text, pieces, pii, quality, token_records, toxicity
 from .common import table
 
 
@@ -18,6 +18,11 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.train(docs, labels))
 
 
+def op3_pieces(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score(docs, quality.train(docs, labels))
@@ -27,10 +32,16 @@ def op7_pii(spark, sf_dir):
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_toxicity": op2_toxicity,
+    "op3_pieces": op3_pieces,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op9_html_text": op9_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}

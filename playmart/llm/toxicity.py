@@ -33,6 +33,7 @@ SAMPLE = 8000
 FEATURES = 1500
 MIN_SHARE, MIN_ROWS = 0.004, 4
 FOLDS = 3
+L2 = 5e-5
 REJECT_AT = 0.5
 
 
@@ -97,12 +98,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
         for k in range(FOLDS):
             inside, out = folds != k, folds == k
             if out.any() and inside.any():
-                w = fit(x.take(inside), earlier[inside], y[inside], l2=2e-4)
+                w = fit(x.take(inside), earlier[inside], y[inside], l2=L2)
                 unseen[out] = sigmoid(x.take(out).dot(w[: x.width]) + earlier[out] @ w[x.width : -1] + w[-1])
         if not len(x):
             weights.append(np.array([-8.0]))
             continue
-        weights.append(fit(x, earlier, y, l2=2e-4))
+        weights.append(fit(x, earlier, y, l2=L2))
         earlier = np.column_stack((earlier, unseen))
     return {"names": names, "known": known, "weights": weights}
 
