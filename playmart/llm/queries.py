@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import html_text, pieces, pii, quality, token_records, toxicity
+from . import decontam, html_text, pieces, pii, quality, secret_scan, token_records, toxicity
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op3_pieces(spark, sf_dir):
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score(docs, quality.train(docs, labels))
@@ -32,6 +36,10 @@ def op7_pii(spark, sf_dir):
     return pii.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_decontam(spark, sf_dir):
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -40,8 +48,10 @@ QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_toxicity": op2_toxicity,
     "op3_pieces": op3_pieces,
+    "op4_secret_scan": op4_secret_scan,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
+    "op8_decontam": op8_decontam,
     "op9_html_text": op9_html_text,
 }
 ORACLE_SQL: dict[str, str] = {}
