@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontam, html_text, pieces, pii, quality, secret_scan, token_records, toxicity
+from . import decontam, html_text, ngram_join, pieces, pii, quality, secret_scan, token_records, toxicity
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_secret_scan(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality.score(docs, quality.train(docs, labels))
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_pieces": op3_pieces,
     "op4_secret_scan": op4_secret_scan,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_decontam": op8_decontam,
