@@ -7,12 +7,9 @@ split again into ``SPLIT`` partitions; with k differences spread over the groups
 has at most ``TOLERATED`` of them, so some subset of ``SPLIT - TOLERATED`` of its partitions
 is free of differences: both sets have the same elements there, and so one signature.
 
-Equal sets are one node, named by a 64-bit hash of the set. Within a bucket of one signature
-the members are compared with its centre, the node that meets most others; that gives most
-links with one comparison per member. Where a cluster of shared signatures is still more
-than one component after that, its sets are compared with each other in blocks, so
-components come out as if all pairs had been compared. Comparisons are exact, on the
-shingles themselves, and a busy centre or a large cluster is dealt to many tasks.
+Equal sets are one node, named by a 64-bit hash of the set. Nodes that share a signature are
+compared exactly, on the shingles themselves, as ``clusters`` describes, so components come
+out as if all pairs had been compared.
 
 Nulls and ties: a document without words has an empty set and links with nothing, a null
 text likewise; copies share a component; rows that repeat a doc_id are linked through it;
@@ -28,20 +25,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.operators.grouping import attach
 from playmart.operators.workspace import cut
 
+from .clusters import if_small, linked_components, shared_buckets, stars_of
 from .common import MIX, arrow_map, components, scramble, shingles, slices, texts
 
 #: Partitions of a group, and how many of them may differ.
 SPLIT, TOLERATED = 2, 1
-#: Members one task compares with a centre.
-MEMBERS_PER_TASK = 128
-#: Sets of a cluster that are held at once when its components are compared with each other.
-BLOCK = 128
 
 PROFILE = "doc_id long, n_shingles long, node long, signatures array<long>"
 
@@ -103,50 +97,31 @@ def _profile(batches: Iterator[pa.RecordBatch], width: int, percent: int):
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "signatures"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], width: int, percent: int):
-    """Rows sorted by (a, salt, member): a centre's own row, then its members."""
-    centre, items = None, None
-    for batch in slices(batches):
-        a, b = [], []
-        for c, node, member, text in zip(*(batch.column(n).to_pylist() for n in ("a", "node", "member", "text"))):
-            own = shingles(text or "", width)
-            if node_of(own) != node:
-                continue  # another text under a repeated doc_id
-            if not member:
-                centre, items = c, own
-            elif centre == c:
-                small, large = (own, items) if len(own) < len(items) else (items, own)
-                place = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                shared = int((large[place] == small).sum())
-                if 100 * shared >= percent * (len(own) + len(items) - shared):
-                    a.append(c)
-                    b.append(node)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+class ShingleSets:
+    """The exact comparison: 100 * shared >= percent * union, on shingle hashes."""
 
+    def __init__(self, width: int, percent: int):
+        self.width, self.percent = width, percent
 
-def _fetched(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of these nodes, each from one of its documents, kept for all comparisons."""
-    first = profile.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    first = first.join(nodes, "node", "left_semi")
-    return cut(docs.join(first, "doc_id").select("node", "text"), "texts")
+    def prepare(self, text: str) -> tuple[int, np.ndarray]:
+        items = shingles(text, self.width)
+        return node_of(items), items
 
+    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
+        small, large = (a, b) if len(a) < len(b) else (b, a)
+        place = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        shared = int((large[place] == small).sum())
+        return 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
-def _linked(held: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the (a, b) node pairs whose sets link, by their texts."""
-    shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).alias("shares"))
-    salted = attach(pairs, shares, ["a"], "inner")
-    salted = cut(salted.select("a", "b", F.pmod(F.xxhash64("b"), "shares").alias("salt")), "pairs")
-    members = salted.select("a", "salt", F.col("b").alias("node"), F.lit(True).alias("member"))
-    centres = salted.select("a", "salt", F.col("a").alias("node"), F.lit(False).alias("member")).distinct()
-    rows = members.union(centres).join(held, "node")
-    rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-    return arrow_map(rows.select("a", "node", "member", "text"), "a long, b long", _compare, width, percent)
+    def block(self, rows: list[tuple[int, int, np.ndarray]]) -> "_Block":
+        return _Block(rows, self.percent)
 
 
 class _Block:
     """Some sets of a cluster with their postings, to count what another set shares with each."""
 
-    def __init__(self, rows: list[tuple[int, int, np.ndarray]]):
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]], percent: int):
+        self.percent = percent
         self.nodes, self.parts, sets = zip(*rows)
         self.parts = np.array(self.parts)
         self.sizes = np.array([len(x) for x in sets])
@@ -156,46 +131,23 @@ class _Block:
         self.items, self.first = np.unique(flat[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(flat)))
 
-    def links(self, part: int, items: np.ndarray, percent: int) -> list[int]:
+    def links(self, part: int, items: np.ndarray) -> list[int]:
         """One linked node of each other component."""
         place = np.minimum(np.searchsorted(self.items, items), len(self.items) - 1)
         place = place[self.items[place] == items]
         counts = self.count[place]
         at = np.repeat(self.first[place] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
         shared = np.bincount(self.owner[at], minlength=len(self.sizes))
-        linked = 100 * shared >= percent * (self.sizes + len(items) - shared)
+        linked = 100 * shared >= self.percent * (self.sizes + len(items) - shared)
         linked = np.flatnonzero(linked & (self.parts != part))
         return [self.nodes[i] for i in linked[np.unique(self.parts[linked], return_index=True)[1]]]
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int):
-    """Rows sorted by (cluster, block, other): the block's own sets, then the sets to compare."""
-    key, own, block = None, [], None
-    names = ("cluster", "block", "other", "node", "part", "text")
-    for batch in slices(batches):
-        a, b = [], []
-        for cluster, number, other, node, part, text in zip(*(batch.column(n).to_pylist() for n in names)):
-            items = shingles(text or "", width)
-            if node_of(items) != node:
-                continue  # another text under a repeated doc_id
-            if (cluster, number) != key:
-                key, own, block = (cluster, number), [], None
-            if not other:
-                own.append((node, part, items))
-            elif own:
-                block = block or _Block(own)
-                found = block.links(part, items, percent)
-                a += [node] * len(found)
-                b += found
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _centres(members: DataFrame) -> DataFrame:
-    """Per signature the node that meets most others: (signature, centre)."""
-    score = members.groupBy("node").agg(F.sum("met").alias("score"))
-    scored = attach(members, score, ["node"], "inner")
-    best = F.max(F.struct("score", "node"))["node"]
-    return scored.groupBy("signature").agg(best.alias("centre"))
+def _fetched(docs: DataFrame, profile: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of these nodes, each from one of its documents."""
+    first = profile.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    first = cut(first.join(nodes, "node", "left_semi"), "first")
+    return cut(docs.join(if_small(first), "doc_id").select("node", "text"), "texts")
 
 
 def node_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -203,45 +155,11 @@ def node_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     profile = cut(arrow_map(source, PROFILE, _profile, width, percent), "profile")
     signed = profile.where("signatures is not null").select("node", F.explode("signatures").alias("signature"))
-    bucket = Window.partitionBy("signature")
-    members = signed.withColumns(
-        {"low": F.min("node").over(bucket), "high": F.max("node").over(bucket), "met": F.count("*").over(bucket)}
-    )
-    members = cut(members.where("low < high").select("signature", "node", "met"), "members")
+    members = shared_buckets(signed)
     profile = profile.drop("signatures")
-    stars = cut(attach(members, _centres(members), ["signature"], "inner").where("node <> centre"), "stars")
-    tried = stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     held = _fetched(source, profile, members.select("node").distinct())
-    found = cut(components(_linked(held, tried, width, percent)), "found")
-    more = cut(_across(held, tried, found, width, percent), "links")
-    if more.isEmpty():
-        return profile, found
-    chains = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return profile, cut(components(chains.union(more)), "found")
-
-
-def _across(held: DataFrame, tried: DataFrame, found: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between different components of one cluster, as (a, b).
-
-    A cluster is what shared signatures connect. Most are one component by now and drop out.
-    The others are cut into blocks of ``BLOCK`` sets; each block meets the sets of its own and
-    of later blocks as a stream, so a task holds one block whatever the cluster's size.
-    """
-    clusters = components(tried).withColumnRenamed("component", "cluster")
-    parts = attach(clusters, found, ["node"], "left")
-    parts = parts.select("cluster", "node", F.coalesce("component", "node").alias("part"))
-    mixed = parts.groupBy("cluster").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.count("*") / BLOCK).alias("blocks")
-    )
-    parts = attach(parts, mixed.where("low < high").select("cluster", "blocks"), ["cluster"], "inner")
-    parts = cut(parts.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")), "parts")
-    first = parts.select("cluster", F.col("own").alias("block"), F.lit(False).alias("other"), "node", "part")
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), "own")).alias("block")
-    others = parts.select("cluster", block, F.lit(True).alias("other"), "node", "part")
-    rows = first.union(others).join(held, "node")
-    rows = rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "other")
-    rows = rows.select("cluster", "block", "other", "node", "part", "text")
-    return arrow_map(rows, "a long, b long", _compare_blocks, width, percent)
+    comparison = (__name__, "ShingleSets", width, percent)
+    return profile, linked_components(stars_of(members), held, comparison)
 
 
 def join(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
@@ -271,5 +189,5 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents with the smallest doc_id of each group, all columns; texts without words stay."""
     component = join(docs, width, percent).where("doc_id <> component_id")
     dropped = component.select(F.col("doc_id").alias("__dropped")).distinct()
-    kept = docs.join(cut(dropped, "dropped"), docs["doc_id"] == F.col("__dropped"), "left_anti")
-    return kept
+    dropped = if_small(cut(dropped, "dropped"))
+    return docs.join(dropped, docs["doc_id"] == F.col("__dropped"), "left_anti")

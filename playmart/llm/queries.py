@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from . import decontam, html_text, ngram_join, pieces, pii, quality, secret_scan, token_records, toxicity
+from . import decontam, html_text, line_dedup, ngram_join, pieces, pii, quality, secret_scan, token_records, toxicity
 from .common import table
 
 
@@ -48,7 +49,12 @@ def op9_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_token_records": op1_token_records,
     "op2_toxicity": op2_toxicity,
     "op3_pieces": op3_pieces,
@@ -58,5 +64,8 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_decontam": op8_decontam,
     "op9_html_text": op9_html_text,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
