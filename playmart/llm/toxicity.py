@@ -8,8 +8,8 @@ than it may at scoring time.
 Words are maximal runs of letters in lower case (ASCII letters, and all characters beyond
 ASCII), taken as present or absent under a 64-bit hash, so the length of a text does not
 dilute one insult. At most ``SAMPLE`` labelled rows are used, those with the smallest hash
-of their doc_id; for each category the ``FEATURES`` words that tell it apart best and occur
-in ``MIN_SHARE`` of the sample are picked in Spark. Scoring covers every row and whole texts.
+of their doc_id; for each category the ``FEATURES`` words that tell it apart best, by at least ``LEAST_Z``, and
+occur in ``MIN_SHARE`` of the sample are picked in Spark. Scoring covers every row and whole texts.
 
 A null text has no words and gets the base rate. Rows are independent: repeated rows get
 equal results, null ids stay null, an empty table gives an empty result. Without labels, or
@@ -30,11 +30,13 @@ from .linear import Rows, fit, sigmoid
 from .quality import labelled_sample
 
 SAMPLE = 8000
-FEATURES = 1500
+FEATURES = 300
+#: Standardised log odds a word must reach; fewer would be chance among so many words.
+LEAST_Z = 3.0
 MIN_SHARE, MIN_ROWS = 0.004, 4
 FOLDS = 3
 L2 = 5e-5
-REJECT_AT = 0.5
+REJECT_AT = 0.3
 
 
 def categories() -> dict[str, Column]:
@@ -68,7 +70,8 @@ def _picked(sample: DataFrame, names: list[str], n: int) -> np.ndarray:
         inside, outside = F.col(c) + 0.5, F.col("n") - F.col(c) + 0.5
         all_in, all_out = (total[c] or 0) + 1.0, total["n"] - (total[c] or 0) + 1.0
         odds = F.log(inside / all_in) - F.log(outside / all_out)
-        best = counted.orderBy(F.desc(F.abs(odds / F.sqrt(1 / inside + 1 / outside))), "word").limit(n)
+        z = F.abs(odds / F.sqrt(1 / inside + 1 / outside))
+        best = counted.where(z >= LEAST_Z).orderBy(F.desc(z), "word").limit(n)
         keep.update(r[0] for r in best.select("word").collect())  # n rows at most
     return np.sort(np.array(sorted(keep), np.int64).astype(np.uint64))
 
