@@ -22,11 +22,19 @@ WEEKDAY_NAMES = (
 )
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 HOUR_MILLIS = 3_600_000
+# Years 1 to 2147: beyond, a timestamp or its packed key would overflow.
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 5_617_123_199_999
+
+
+def epoch_millis(c: str | Column) -> Column:
+    """Epoch milliseconds from text or number; NULL where no timestamp can hold them."""
+    millis = to_long(c)
+    return F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis)
 
 
 def epoch_millis_to_timestamp(c: str | Column) -> Column:
-    """Epoch milliseconds (text or number) as a timestamp, milliseconds kept."""
-    return F.timestamp_add("MILLISECOND", to_long(c), F.expr(EPOCH))
+    """Epoch milliseconds (text or number) as a timestamp, milliseconds kept; NULL out of range."""
+    return F.timestamp_add("MILLISECOND", epoch_millis(c), F.expr(EPOCH))
 
 
 def truncate_to_hour(ts: str | Column) -> Column:
@@ -38,9 +46,8 @@ def truncate_to_hour(ts: str | Column) -> Column:
 
 def time_key(ts: str | Column) -> Column:
     """Year, month, day and hour packed as the digits YYYYMMDDHH."""
-    return (
-        F.year(ts) * 1_000_000 + F.month(ts) * 10_000 + F.dayofmonth(ts) * 100 + F.hour(ts)
-    ).cast("int")
+    days = F.year(ts).cast("bigint") * 1_000_000 + F.month(ts) * 10_000 + F.dayofmonth(ts) * 100
+    return (days + F.hour(ts)).try_cast("int")
 
 
 def day_of_week(ts: str | Column) -> Column:

@@ -93,10 +93,13 @@ def cluster_by_sortkey(
 
 
 def hot_keys(rows: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Key values that hold more rows than an even bucket: fewer than ``buckets`` of them."""
+    """Key values that hold more rows than an even bucket (fewer than ``buckets`` of them),
+    with ``salts``: how many even buckets their rows would fill."""
     counted = rows.where(F.col(key).isNotNull()).groupBy(key).agg(n_rows().alias("n"))
     total = rows.agg(n_rows().alias("total")).scalar()
-    return counted.where(F.col("n") * buckets > total).select(key)
+    share = F.ceil(F.col("n") * buckets / total)
+    hot = counted.where(F.col("n") * buckets > total)
+    return hot.select(key, F.least(share, F.lit(buckets)).cast("int").alias("salts"))
 
 
 def write_colocated(
@@ -108,23 +111,24 @@ def write_colocated(
     names: tuple[str, str],
     paths: tuple[str, str],
     buckets: int,
-    salts: int = 16,
+    salts: int | None = None,
 ) -> None:
     """Save fact and dimension as bucketed tables that join without a shuffle.
 
     Both are bucketed on (key, salt). The salt is 0 except for hot fact keys, whose
-    rows are spread over ``salts`` values by their id; the dimension repeats the rows
-    of those keys once per salt. At most ``buckets`` keys can be hot, so that list is
-    safe to broadcast. Join the tables on key and ``salt``.
+    rows are spread by their id over as many salts as they would fill even buckets (or
+    over ``salts``, if given); the dimension repeats the rows of those keys once per salt. Rows without a key join
+    nothing and are spread over all buckets. At most ``buckets`` keys can be hot, so that
+    list, counted once, is safe to broadcast. Join the tables on key and ``salt``.
     """
-    hot = hot_keys(fact, fact_key, buckets).select(F.col(fact_key).alias("__hot"))
-    spread = F.pmod(F.xxhash64(fact_id), F.lit(salts)).cast("int")
+    hot = cut(hot_keys(fact, fact_key, buckets), "hot").withColumnRenamed(fact_key, "__hot")
+    if salts:
+        hot = hot.withColumn("salts", F.lit(salts))
+    width = F.when(F.col(fact_key).isNull(), buckets).otherwise(F.coalesce("salts", F.lit(1)))
     salted_fact = fact.join(F.broadcast(hot), F.col(fact_key) == F.col("__hot"), "left").withColumn(
-        "salt", F.when(F.col("__hot").isNotNull(), spread).otherwise(0)
+        "salt", F.pmod(F.xxhash64(fact_id), width).cast("int")
     )
-    copies = F.when(
-        F.col("__hot").isNotNull(), F.array(*[F.lit(i) for i in range(salts)])
-    ).otherwise(F.array(F.lit(0)))
+    copies = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     salted_dim = dim.join(F.broadcast(hot), F.col(dim_key) == F.col("__hot"), "left").withColumn(
         "salt", F.explode(copies)
     )
@@ -132,7 +136,7 @@ def write_colocated(
         (salted_fact, fact_key, names[0], paths[0]),
         (salted_dim, dim_key, names[1], paths[1]),
     ):
-        rows.drop("__hot").repartition(buckets, key, "salt").write.mode("overwrite").option(
+        rows.drop("__hot", "salts").repartition(buckets, key, "salt").write.mode("overwrite").option(
             "path", path
         ).bucketBy(buckets, key, "salt").sortBy(key, "salt").saveAsTable(name)
 

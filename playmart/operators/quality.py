@@ -14,11 +14,12 @@ from playmart.schemas import DEFAULT_TEXT, Table
 def check_contract(rows: DataFrame, table: Table) -> DataFrame:
     """Violations per column and rule, from one pass over ``rows``.
 
+    Lengths count bytes, as a declared text length does.
     Columns: ``column_name``, ``rule`` ('not null' or 'max length n'), ``violations``.
     """
     rules = [(c, "not null", F.col(c).isNull()) for c in table.required if c in rows.columns]
     rules += [
-        (c, f"max length {n}", F.length(c) > n)
+        (c, f"max length {n}", F.octet_length(c) > n)
         for c, n in table.lengths.items()
         if c in rows.columns
     ]
@@ -54,9 +55,9 @@ def check_primary_key(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:
 
 
 def longest_text(rows: DataFrame, limit: int = DEFAULT_TEXT) -> DataFrame:
-    """Longest value of every text column and whether it passes the default length."""
+    """Bytes of the longest value of every text column and whether it passes the default length."""
     columns = [f.name for f in rows.schema.fields if f.dataType.typeName() == "string"]
-    widest = rows.agg(*[F.max(F.length(c)).alias(c) for c in columns])
+    widest = rows.agg(*[F.max(F.octet_length(c)).alias(c) for c in columns])
     return widest.select(
         F.inline(
             F.array(

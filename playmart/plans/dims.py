@@ -57,7 +57,7 @@ def dim_time(events: DataFrame) -> DataFrame:
 
     Plays shrink to distinct hours first; calendar parts are worked out per hour.
     """
-    millis = to_long("ts")
+    millis = cal.epoch_millis("ts")
     hours = (
         plays(events)
         .select((millis - F.pmod(millis, F.lit(cal.HOUR_MILLIS))).alias("hour_millis"))

@@ -290,12 +290,6 @@ def title_or_artist_lookup(
 # --- users and plays ---------------------------------------------------------------
 
 
-def null_comparison_count(events: DataFrame) -> DataFrame:
-    """The comparison with NULL as written: never true, so always 0."""
-    never = F.col("userId") != F.lit(None).cast("string")
-    return events.where(never).agg(n_rows().alias("user_count"))
-
-
 def null_user_count(events: DataFrame) -> DataFrame:
     """Events that truly lack a user id."""
     return events.agg(F.count_if(F.col("userId").isNull()).alias("null_user_count"))
@@ -308,10 +302,11 @@ def users_many_levels(events: DataFrame, n: int = 10) -> DataFrame:
     return _ordered(kept, "userId", "level", "firstName", "lastName").limit(n)
 
 
-def duplicate_plays(events: DataFrame, n: int = 10) -> DataFrame:
-    """Plays recorded more than once."""
+def duplicate_plays(events: DataFrame, n: int | None = None) -> DataFrame:
+    """All plays recorded more than once; ``n`` lists only the first."""
     copies = duplicate_groups(fact_songplays(events))
-    return _ordered(copies, *copies.columns).limit(n)
+    ordered = _ordered(copies, *copies.columns)
+    return ordered if n is None else ordered.limit(n)
 
 
 def unmatched_plays(songplays: DataFrame, song_titles: DataFrame) -> DataFrame:

@@ -164,14 +164,6 @@ def filter_null_tests(spark, sf_dir):
     return rows.where(F.col("artist_latitude").isNotNull() & F.col("artist_location").isNull())
 
 
-@query(
-    "filter_null_comparison",
-    "SELECT count(*) AS user_count FROM staging_events WHERE userId <> NULL",
-)
-def filter_null_comparison(spark, sf_dir):
-    return profiling.null_comparison_count(events(spark, sf_dir, "userId"))
-
-
 @query(
     "filter_not_blank",
     "SELECT artist_id, artist_name, artist_location FROM staging_songs "
@@ -732,21 +724,17 @@ def top_1_per_group(spark, sf_dir):
     "SELECT artist_name, artist_id, artist_latitude FROM artist_row "
     "ORDER BY artist_latitude DESC NULLS LAST, artist_name ASC NULLS FIRST, "
     "artist_id ASC NULLS LAST, artist_longitude ASC NULLS LAST, "
-    "artist_location ASC NULLS LAST LIMIT 100",
+    "artist_location ASC NULLS LAST",
 )
 def null_order(spark, sf_dir):
     rows = identity.artist_rows(songs(spark, sf_dir))
-    return (
-        rows.orderBy(
-            F.col("artist_latitude").desc_nulls_last(),
-            F.col("artist_name").asc_nulls_first(),
-            F.col("artist_id").asc_nulls_last(),
-            F.col("artist_longitude").asc_nulls_last(),
-            F.col("artist_location").asc_nulls_last(),
-        )
-        .limit(100)
-        .select("artist_name", "artist_id", "artist_latitude")
-    )
+    return rows.orderBy(
+        F.col("artist_latitude").desc_nulls_last(),
+        F.col("artist_name").asc_nulls_first(),
+        F.col("artist_id").asc_nulls_last(),
+        F.col("artist_longitude").asc_nulls_last(),
+        F.col("artist_location").asc_nulls_last(),
+    ).select("artist_name", "artist_id", "artist_latitude")
 
 
 @query("union_steps", "SELECT * FROM steps14")

@@ -151,11 +151,11 @@ SELECT column_name, rule, violations FROM (
     1 AS o FROM artist_names
   UNION ALL SELECT 'artist_id', 'not null', count(*) FILTER (artist_id IS NULL), 2
     FROM artist_names
-  UNION ALL SELECT 'name', 'max length 1000', count(*) FILTER (length(name) > 1000), 3
+  UNION ALL SELECT 'name', 'max length 1000', count(*) FILTER (strlen(name) > 1000), 3
     FROM artist_names
-  UNION ALL SELECT 'artist_id', 'max length 256', count(*) FILTER (length(artist_id) > 256), 4
+  UNION ALL SELECT 'artist_id', 'max length 256', count(*) FILTER (strlen(artist_id) > 256), 4
     FROM artist_names
-  UNION ALL SELECT 'location', 'max length 1000', count(*) FILTER (length(location) > 1000), 5
+  UNION ALL SELECT 'location', 'max length 1000', count(*) FILTER (strlen(location) > 1000), 5
     FROM artist_names)""",
 )
 def check_contract(spark, sf_dir):
@@ -197,8 +197,8 @@ def surrogate_key(spark, sf_dir):
 
 def _longest(table: str, columns: list[str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, CAST(max(length({c})) AS INTEGER) AS max_length, "
-        f"coalesce(max(length({c})) > 256, false) AS overflows FROM {table}"
+        f"SELECT '{c}' AS column_name, CAST(max(strlen({c})) AS INTEGER) AS max_length, "
+        f"coalesce(max(strlen({c})) > 256, false) AS overflows FROM {table}"
         for c in columns
     )
 

@@ -1,7 +1,9 @@
 """JSON lines to all-string staging rows.
 
-Each line is parsed once into a variant; every column is then one path into it, so
-numbers keep their decimal digits and a bad line gives NULLs instead of an error.
+Bare numbers are quoted first, so their text lands unchanged: ``250.10``, ``1e5`` and any
+number of digits. Each line is then parsed once into a variant and every column is one path
+into it. A line must hold one object and nothing else; a second object or text behind the
+first makes it a load error, never a silent loss.
 The parsers take a DataFrame with a ``value`` column, whatever it was read from, and
 keep its other columns.
 """
@@ -17,6 +19,14 @@ from playmart.schemas import STAGING_EVENTS, STAGING_SONGS
 EVENT_PATHS = tuple(f"$.{column}" for column in STAGING_EVENTS.columns)
 
 _PARSED = "__parsed"
+_END = "end of line"
+
+# One step from the end of the last number: over whole strings and whatever holds no digit, to
+# a number as JSON writes it. Anything else stops the steps, and the parser then refuses it.
+_NUMBER = (
+    r"""\G((?:[^"0-9-]++|"(?:[^"\\]++|\\.)*+")*+(?<=[\s:,\[{]|^))"""
+    r"(-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][+-]?[0-9]++)?)(?=[\s,\]}]|$)"
+)
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -28,7 +38,7 @@ def read_lines(spark: SparkSession, path: str, pattern: str | None = None) -> Da
 
 
 def non_blank(lines: DataFrame) -> DataFrame:
-    return lines.where(F.trim("value") != "")
+    return lines.where(F.col("value").rlike(r"\S"))
 
 
 def parse_events(
@@ -81,7 +91,10 @@ def load_errors(lines: DataFrame) -> DataFrame:
 def _objects(lines: DataFrame, on_error: str) -> DataFrame:
     checked = _with_reason(lines)
     if on_error == "skip":
-        return checked.where(F.col("reason").isNull())
+        # not a filter: that would be pushed below the parse and parse every line twice
+        good = F.explode_outer(F.when(F.col("reason").isNull(), F.array(_PARSED)))
+        others = [c for c in checked.columns if c != _PARSED]
+        return checked.select(*others, good.alias(_PARSED)).where(F.col(_PARSED).isNotNull())
     if on_error == "fail":
         place = F.col("file_path") if "file_path" in lines.columns else F.lit("line")
         message = F.concat_ws(": ", F.lit("bad line"), "reason", place, "value")
@@ -93,9 +106,18 @@ def _objects(lines: DataFrame, on_error: str) -> DataFrame:
 
 
 def _with_reason(lines: DataFrame) -> DataFrame:
-    parsed = non_blank(lines).withColumn(_PARSED, F.try_parse_json("value"))
+    quoted = F.regexp_replace("value", _NUMBER, '$1"$2"')
+    wrapped = F.concat(F.lit("["), quoted, F.lit(f',"{_END}"]'))
+    parsed = non_blank(lines).withColumn("__whole", F.try_parse_json(wrapped))
     is_object = F.col("value").rlike(r"^\s*\{")
-    return parsed.withColumn(
-        "reason",
-        F.when(F.col(_PARSED).isNull(), "malformed JSON").when(~is_object, "not a JSON object"),
+    alone = F.try_variant_get("__whole", "$[1]", "string").eqNullSafe(F.lit(_END))
+    alone &= F.try_variant_get("__whole", "$[2]", "variant").isNull()
+    parsed = parsed.withColumns(
+        {
+            "reason": F.when(F.col("__whole").isNull(), "malformed JSON")
+            .when(~alone, "text after the object")
+            .when(~is_object, "not a JSON object"),
+            _PARSED: F.try_variant_get("__whole", "$[0]", "variant"),
+        }
     )
+    return parsed.drop("__whole")

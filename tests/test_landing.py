@@ -88,3 +88,30 @@ def test_reconcile_counts_reports_a_shortfall(spark):
         ("y", 2, 2, True),
         ("z", 0, 0, True),
     ]
+
+
+def test_number_text_lands_unchanged(spark):
+    numbers = ["250.10", "1.0", "1e5", "-0", "12345678901234567890123456789012345678901.5", "7"]
+    line = '{"a":"1 \\" 2,3","n":[1,{"x":2.50}],' + ",".join(f'"k{i}": {n}' for i, n in enumerate(numbers)) + "}"
+    paths = tuple(f"$.k{i}" if i < len(numbers) else "$.n[1].x" if i == 8 else "$.a" for i in range(18))
+    row = landing.parse_events(lines(spark, line), paths).first()
+    assert list(row[: len(numbers)]) == numbers
+    assert row[8] == "2.50" and row[9] == '1 " 2,3'
+    text = "9" * 40_000
+    long = landing.parse_events(lines(spark, '{"song":"' + text + '","ts":5}')).first()
+    assert (long["song"], long["ts"]) == (text, "5")
+
+
+@pytest.mark.parametrize(
+    "line",
+    ['{"a":1}{"a":2}', '{"a":1},{"a":2}', '{"a":1} trailing', '{"a":1}]', '{"a":1},"end of line"', '{"a":01}', '{"a":-}', '{"a":1.}'],
+)
+def test_nothing_is_lost_behind_an_object(spark, line):
+    frame = lines(spark, line, '{"a":3}', "\t ")
+    assert [r["line"] for r in landing.load_errors(frame).collect()] == [line]
+    assert landing.parse_events(frame).count() == 1
+
+
+def test_lines_are_parsed_once(spark):
+    plan = landing.parse_events(lines(spark, '{"a":3}'))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1

@@ -213,3 +213,23 @@ def test_build_fails_on_a_bad_line_or_keeps_it_aside(spark, tmp_path):
     warehouse.build(spark, warehouse.Sources(log, songs, on_error="skip"), root)
     assert [r["line"] for r in spark.read.parquet(f"{root}/load_errors").collect()] == ['{"page":']
     assert layout.read_table(spark, root, S.STAGING_EVENTS).count() == 4
+
+
+def test_hot_and_missing_titles_fill_even_buckets(spark, tmp_path):
+    title = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 30 = 1 THEN NULL ELSE 't' || id END AS title"
+    fact = spark.range(64_000).selectExpr("id", title)
+    dim = fact.where("title is not null").select(F.col("title").alias("name")).distinct()
+    names, buckets = ("hot_fact", "hot_dim"), 64
+    try:
+        layout.write_colocated(
+            fact, "title", "id", dim, "name", names, (str(tmp_path / "f"), str(tmp_path / "d")), buckets
+        )
+        sizes = spark.table(names[0]).groupBy(F.expr("pmod(hash(title, salt), 64)")).count()
+        assert sizes.agg(F.max("count")).first()[0] < 6 * 64_000 / buckets
+        joined = spark.table(names[0]).alias("f").join(
+            spark.table(names[1]).alias("d"), F.expr("f.title = d.name and f.salt = d.salt")
+        )
+        assert joined.count() == fact.where("title is not null").count()
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

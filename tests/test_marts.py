@@ -144,5 +144,18 @@ def test_duplicate_and_unmatched_plays(spark):
 
 def test_users_with_null_id_are_counted_only_by_the_real_check(spark):
     log = events(spark, dict(userId=None), {})
-    assert profiling.null_comparison_count(log).first()[0] == 0
     assert profiling.null_user_count(log).first()[0] == 1
+
+
+def test_no_timestamp_ends_a_build(spark):
+    stamps = ["1541990217796", "1541990217796000", str(2**63 - 1), str(-(2**63)), "-1", None, "x"]
+    log = spark.createDataFrame([(t, "NextSong") for t in stamps], "ts string, page string")
+    from playmart.functions import calendar as cal
+
+    stamp = cal.epoch_millis_to_timestamp("ts")
+    found = log.select("ts", stamp.alias("at"), cal.time_key(stamp).alias("key")).collect()
+    keys = {r["ts"]: r["key"] for r in found}
+    assert keys == {t: {"1541990217796": 2018111202, "-1": 1969123123}.get(t) for t in stamps}
+    from playmart.plans import dims
+
+    assert dims.dim_time(log).where("timestamp_date is not null").count() == 2
