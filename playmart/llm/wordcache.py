@@ -125,6 +125,8 @@ class TextTokenizer:
         self.words = WordIds(encode, _word_and_marks if self.lower else None)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        # a slice keeps its parent's buffers, and the string kernels misplace the offsets of some slices
+        texts = texts.take(pa.array(np.arange(len(texts))))
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if self.lower and not pc.any(pc.match_substring(texts, "<|")).as_py():
             texts = pc.ascii_lower(texts)

@@ -9,7 +9,9 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from playmart.llm import (
     common,
@@ -23,6 +25,7 @@ from playmart.llm import (
     secret_scan,
     token_records,
     toxicity,
+    wordcache,
 )
 
 COLUMNS = "doc_id long, text string, node long, at string, lines string"
@@ -258,3 +261,17 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     total = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert 0.5 * total < rows.count() < total and rows.where("not round_trip").count() == 0
+
+
+def test_word_ids_of_array_slices():
+    """Slices at any place of a batch give what the whole-text tokenizer gives."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tool, reference = wordcache.TextTokenizer(path), Tokenizer.from_file(path)
+    own = [f"Row {k} holds Wörter, naïve\ttext {'abc ' * (k % 7)}<|x|>"[: None if k % 5 else -5] for k in range(200)]
+    own[16], own[40] = None, ""
+    whole = pa.array(own, pa.string())
+    for start in (0, 8, 16, 64, 67):
+        part = whole.slice(start, 40)
+        ids, bounds = tool.encode(part)
+        got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == [reference.encode(x or "", add_special_tokens=False).ids for x in part.to_pylist()]
