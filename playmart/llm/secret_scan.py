@@ -4,7 +4,7 @@ Each rule is a regular expression. From its syntax tree a Boolean trigram query
 OR of clauses, each an AND of trigrams that every match must contain. The index holds
 postings (trigram, text) of the lower-cased texts for the trigrams the rules ask for; clauses
 are matched by intersecting postings, and only texts some clause selects are verified with
-the expression itself. A rule without mandatory trigrams scans every text.
+the expression itself. A few lead trigrams hit every clause; the rest are looked for behind them. A rule without mandatory trigrams scans every text.
 
 Base rules (assign, access, hex) are leftmost non-overlapping matches with fixed limits; the
 further rules add spans. Offsets are code points, ends exclusive.
@@ -16,6 +16,7 @@ ids stay null, an empty table gives an empty result. Other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -131,14 +132,37 @@ def _key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def postings(docs: DataFrame, trigrams: list[str]) -> DataFrame:
+def leads(queries: list[Clauses]) -> dict[str, list[str]]:
+    """For few trigrams that together occur in every clause, the other trigrams of their clauses.
+
+    A trigram met in more clauses comes first, ties by the alphabet.
+    """
+    left = {c for q in queries for c in q if c}
+    found: dict[str, list[str]] = {}
+    while left:
+        counts = Counter(t for c in left for t in c)
+        lead = min(counts, key=lambda t: (-counts[t], t))
+        own = {c for c in left if lead in c}
+        found[lead] = sorted(set().union(*own) - {lead})
+        left -= own
+    return found
+
+
+def postings(docs: DataFrame, trigrams: list[str], queries: list[Clauses]) -> DataFrame:
     """The inverted index for these trigrams: (trigram as its place in the list, at = text key).
 
+    No clause holds without its lead, so a text without it gets no postings of the clause's other
+    trigrams, nor is it searched for them. A trigram of several leads may be listed twice.
     Keys are hashes of row contents; equal keys of different rows would only add candidates.
     """
-    low = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]))
-    return docs.select(_key().alias("at"), F.explode(held).alias("trigram"))
+    place = {t: i for i, t in enumerate(trigrams)}
+    has = lambda t: F.contains("low", F.lit(t))
+    held = []
+    for lead, others in leads(queries).items():
+        own = F.array_compact(F.array(F.lit(place[lead]), *[F.when(has(t), F.lit(place[t])) for t in others]))
+        held.append(F.when(has(lead), own).otherwise(F.array().cast("array<int>")))
+    rows = docs.select(_key().alias("at"), F.lower("text").alias("low"))
+    return rows.select("at", F.explode(F.concat(*held)).alias("trigram"))
 
 
 def candidates(index: DataFrame, trigrams: list[str], queries: list[Clauses]) -> DataFrame:
@@ -196,7 +220,8 @@ def scan(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     queries = [trigram_clauses(r.pattern) for r in RULES]
     trigrams = sorted({t for q in queries if q != ANYTHING for c in q for t in c})
-    chosen = candidates(postings(docs, trigrams), trigrams, [() if q == ANYTHING else q for q in queries])
+    wanted = [frozenset() if q == ANYTHING else q for q in queries]
+    chosen = candidates(postings(docs, trigrams, wanted), trigrams, wanted)
     rows = docs.withColumn("at", _key()).join(chosen, "at", "left")
     found = []
     for number, (rule, query) in enumerate(zip(RULES, queries)):
