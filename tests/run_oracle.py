@@ -18,7 +18,7 @@ if __name__ == "__main__":
     spark = local_session(8)
     runs, sqls = entry.queries(), entry.oracle_sql()
     db, bad = connect(sf_dir), 0
-    for key in keys or runs:
+    for key in keys or sqls:
         start = time.time()
         try:
             problem, n = compare(runs[key](spark, sf_dir), db, sqls[key])

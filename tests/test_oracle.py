@@ -11,7 +11,8 @@ from tests.conftest import plan_of
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
-RUNS, SQLS = entry.queries(), entry.oracle_sql()
+RUNS = {key: query.run for key, query in entry.warehouse().items()}
+SQLS = {key: query.sql for key, query in entry.warehouse().items()}
 
 
 @pytest.fixture(scope="module")
