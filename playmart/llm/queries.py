@@ -5,7 +5,21 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from . import decontam, html_text, line_dedup, ngram_join, pieces, pii, quality, secret_scan, token_records, toxicity
+from . import (
+    decontam,
+    factorisation,
+    html_text,
+    importance,
+    line_dedup,
+    ngram_join,
+    pieces,
+    pii,
+    quality,
+    secret_scan,
+    token_records,
+    toxicity,
+    whitening,
+)
 from .common import table
 
 
@@ -53,6 +67,19 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_factorisation(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return factorisation.score(docs, factorisation.train(docs, labels))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_token_records": op1_token_records,
@@ -65,6 +92,9 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_html_text": op9_html_text,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance": op11_importance,
+    "op12_factorisation": op12_factorisation,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {}
 if corpus_pipeline.ORACLE_SQL:
