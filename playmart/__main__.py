@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from playmart.operators import versions
 from playmart.operators.layout import create_tables
 from playmart.plans import warehouse
 from playmart.schemas import ALL_TABLES
@@ -27,7 +28,7 @@ def main(arguments: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("playmart").getOrCreate()
     if chosen.command == "create":
-        create_tables(spark, chosen.out, list(ALL_TABLES.values()))
+        create_tables(spark, versions.current(spark, chosen.out), list(ALL_TABLES.values()))
     else:
         sources = warehouse.Sources(chosen.events, chosen.songs, on_error=chosen.on_error)
         warehouse.build(spark, sources, chosen.out, chosen.working, chosen.dense_keys)

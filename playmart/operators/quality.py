@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from playmart.operators.grouping import attach
 from playmart.schemas import DEFAULT_TEXT, Table
 
+DUPLICATE = "duplicate key"
+
 
 def check_contract(rows: DataFrame, table: Table) -> DataFrame:
     """Violations per column and rule, from one pass over ``rows``.
@@ -40,13 +40,40 @@ def check_contract(rows: DataFrame, table: Table) -> DataFrame:
     )
 
 
-def split_contract(rows: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
-    """Rows whose required columns are all present, and the others."""
-    required = [F.col(c).isNotNull() for c in table.required if c in rows.columns]
-    if not required:
-        return rows, rows.where(F.lit(False))
-    complete = reduce(and_, required)
-    return rows.where(complete), rows.where(~complete)
+def first_violation(table: Table, columns: list[str]) -> Column:
+    """The first rule a row breaks, as ``rule: column``, or NULL; NOT NULL rules come first."""
+    broken = [F.when(F.col(c).isNull(), F.lit(f"not null: {c}")) for c in table.required if c in columns]
+    broken += [
+        F.when(F.octet_length(c) > n, F.lit(f"max length {n}: {c}"))
+        for c, n in table.lengths.items()
+        if c in columns
+    ]
+    return F.coalesce(*broken, F.lit(None).cast("string"))
+
+
+def enforce_contract(
+    stored: DataFrame, table: Table, unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that meet the contract, the others with the ``rule`` each breaks).
+
+    ``stored`` must be a stored table: a row is named by its file and its place in it. Of
+    rows that share a key the smallest by the other columns in their order (NULLs first)
+    stays, of equal ones the first in the files; the others break ``duplicate key``. The winner is a
+    partial aggregate per key, and only keys with several rows are joined back, so no group
+    meets in one task. With ``unique`` the key is known to be unique and is not checked.
+    """
+    columns = stored.columns
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    rows = stored.select(*columns, place.alias("__place"), first_violation(table, columns).alias("rule"))
+    key = [c for c in table.key if c in columns]
+    if key and len(key) == len(table.key) and not unique:
+        order = F.struct(*[c for c in columns if c not in key], "__place")
+        groups = rows.where("rule is null").groupBy(*key)
+        groups = groups.agg(F.min(order)["__place"].alias("__winner"), F.count(F.lit(1)).alias("__n"))
+        rows = attach(rows, groups.where("__n > 1").drop("__n"), key, "left", nulls_match=True)
+        loses = F.col("rule").isNull() & (F.col("__place") != F.col("__winner"))
+        rows = rows.withColumn("rule", F.when(loses, F.lit(DUPLICATE)).otherwise(F.col("rule")))
+    return rows.where("rule is null").select(*columns), rows.where("rule is not null").select(*columns, "rule")
 
 
 def check_primary_key(rows: DataFrame, key: tuple[str, ...]) -> DataFrame:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from playmart import schemas as S
-from playmart.operators import layout
-from playmart.operators.quality import split_contract
+from playmart.operators import layout, versions
+from playmart.operators.quality import enforce_contract
 from playmart.operators.workspace import cut, scratch
 from playmart.plans import dims, facts, identity
-from playmart.sources import landing
+from playmart.sources import framing, landing
 
 
 @dataclass(frozen=True)
@@ -25,20 +26,63 @@ class Sources:
     on_error: str = "fail"
 
 
-def land(spark: SparkSession, sources: Sources, root: str) -> None:
-    """Parse the JSON objects into the two staging tables.
+COUNTS = "collection string, records long, refused long, staged long, ok boolean"
 
-    With ``on_error='skip'`` the refused lines are kept in ``load_errors``.
+
+def land(spark: SparkSession, sources: Sources, root: str) -> DataFrame:
+    """Parse the JSON objects into the two staging tables; returns ``landing_counts``.
+
+    Each source is read once and each record parsed once, into one written result that is
+    split by whether the record was refused. Counters ride along with that write; if the stored
+    staging rows and the refused records do not add up to the records, the landing fails.
+    With ``on_error='skip'`` the refused records are kept in ``load_errors``.
     """
-    event_lines = landing.read_lines(spark, sources.events)
-    song_lines = landing.read_lines(spark, sources.songs)
-    events = landing.parse_events(event_lines, sources.event_paths, sources.on_error)
-    songs = landing.parse_songs(song_lines, sources.on_error)
-    layout.replace_table(events, root, S.STAGING_EVENTS)
-    layout.replace_table(songs, root, S.STAGING_SONGS)
+    if sources.on_error not in ("fail", "skip"):
+        raise ValueError(f"on_error must be 'skip' or 'fail', not {sources.on_error!r}")
+    tagged = (
+        (S.STAGING_EVENTS, landing.tag_events(_records(spark, sources.events), sources.event_paths)),
+        (S.STAGING_SONGS, landing.tag_songs(_records(spark, sources.songs))),
+    )
+    counts, refused = [], []
+    for table, rows in tagged:
+        rows = landing.refuse(rows) if sources.on_error == "fail" else rows
+        counts.append(_land_one(spark, rows, root, table))
+        if counts[-1][2]:
+            refused.append(spark.read.parquet(f"{root}/{table.name}_refused").select("file_path", "line", "reason"))
+    counted = spark.createDataFrame(counts, COUNTS)
+    counted.coalesce(1).write.mode("overwrite").parquet(f"{root}/landing_counts")
     if sources.on_error == "skip":
-        refused = landing.load_errors(event_lines.unionByName(song_lines))
-        refused.write.mode("overwrite").parquet(f"{root}/load_errors")
+        none = spark.createDataFrame([], "file_path string, line string, reason string")
+        errors = refused[0].unionByName(refused[1]) if len(refused) == 2 else refused[0] if refused else none
+        errors.write.mode("overwrite").parquet(f"{root}/load_errors")
+    lost = [row for row in counts if not row[-1]]
+    if lost:
+        raise RuntimeError(f"records and staged rows differ (collection, records, refused, staged): {lost}")
+    return counted
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    return framing.frame(framing.read_blocks(spark, path))
+
+
+def _land_one(spark: SparkSession, tagged: DataFrame, root: str, table: S.Table) -> tuple:
+    """Write the tagged records once, good and refused ones apart; returns the row of counts."""
+    seen = Observation(f"landing of {table.name}")
+    is_refused = F.col("reason").isNotNull()
+    watched = tagged.withColumn("refused", is_refused).observe(
+        seen, F.count(F.lit(1)).alias("records"), F.count_if("refused").alias("refused")
+    )
+    folder = f"{root}/{table.name}_landing"
+    for old in (layout.table_path(root, table), f"{root}/{table.name}_refused"):
+        versions.delete(spark, old)
+    watched.write.mode("overwrite").partitionBy("refused").parquet(folder)
+    if not versions.move(spark, f"{folder}/refused=false", layout.table_path(root, table)):
+        layout.clear_table(spark, root, table)
+    versions.move(spark, f"{folder}/refused=true", f"{root}/{table.name}_refused")
+    versions.delete(spark, folder)
+    staged = layout.read_table(spark, root, table).count()  # from the file footers
+    got = seen.get
+    return table.name, got["records"], got["refused"], staged, got["records"] == got["refused"] + staged
 
 
 def build_working_tables(spark: SparkSession, root: str) -> None:
@@ -53,8 +97,9 @@ def build_working_tables(spark: SparkSession, root: str) -> None:
 def build_marts(spark: SparkSession, root: str, dense_keys: bool = False) -> None:
     """Dimensions and fact from the staging tables, each written once.
 
-    Rows that lack a required column go to ``<table>_rejects`` instead of failing the
-    build or slipping in. The fact key has gaps unless ``dense_keys`` asks for 0, 1, 2, ...
+    Rows that lack a required column, are too long or repeat a key go to ``<table>_rejects``
+    with the rule they break, instead of failing the build or slipping in. The fact key has
+    gaps unless ``dense_keys`` asks for 0, 1, 2, ...
     """
     events = layout.read_table(spark, root, S.STAGING_EVENTS)
     songs = layout.read_table(spark, root, S.STAGING_SONGS)
@@ -75,12 +120,17 @@ def build(
     working: bool = False,
     dense_keys: bool = False,
 ) -> None:
-    """Run everything; running it again replaces all tables."""
-    with scratch(spark):
-        land(spark, sources, root)
+    """Run everything into a new version of ``root``; readers see it once all tables are there.
+
+    Running it again replaces all tables together. ``versions.current(spark, root)`` is the
+    folder to read; a build that stops midway leaves the former version in place.
+    """
+    with versions.new_version(spark, root) as folder, scratch(spark):
+        land(spark, sources, folder)
         if working:
-            build_working_tables(spark, root)
-        build_marts(spark, root, dense_keys)
+            build_working_tables(spark, folder)
+        build_marts(spark, folder, dense_keys)
+        layout.create_tables(spark, folder, list(S.ALL_TABLES.values()))
 
 
 def register_views(spark: SparkSession, root: str, replicate: bool = False) -> list[str]:
@@ -89,7 +139,7 @@ def register_views(spark: SparkSession, root: str, replicate: bool = False) -> l
     With ``replicate`` the replicated dimensions are measured, and those small enough are
     marked for broadcasting in every query that joins them.
     """
-    names = []
+    names, root = [], versions.current(spark, root)
     for table in S.ALL_TABLES.values():
         try:
             rows = layout.read_table(spark, root, table)
@@ -108,6 +158,7 @@ def colocate(spark: SparkSession, root: str, buckets: int, prefix: str = "coloca
     """Save fact and song titles once more, bucketed on the title for shuffle-free joins."""
     tables = (S.SONGPLAYS, S.SONG_TITLES)
     names = tuple(prefix + t.name for t in tables)
+    root = versions.current(spark, root)
     layout.write_colocated(
         layout.read_table(spark, root, S.SONGPLAYS),
         S.SONGPLAYS.spread_by,
@@ -130,7 +181,8 @@ def _store(
     # Written before it is clustered: range partitioning samples its input first, and
     # neither the job nor the row numbers should be computed a second time.
     path = layout.table_path(root, table)
-    complete, rejected = split_contract(cut(rows, table.name), table)
+    generated = table is S.SONGPLAYS
+    complete, rejected = enforce_contract(cut(rows, table.name), table, unique=generated)
     if number:
         complete = layout.dense_key(complete, table.key[0])
     layout.cluster_by_sortkey(layout.conform(complete, table), path, table.sort_by, tie_break)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from playmart import schemas as S
 from playmart.bindings import staging_events, staging_songs
-from playmart.operators import layout, workspace
+from playmart.operators import layout, versions, workspace
 from playmart.plans import dims, facts, identity, warehouse
 from playmart.registry import Registry
 
@@ -134,9 +134,9 @@ def build_warehouse(spark, sf_dir):
     staging_songs(spark, sf_dir).write.json(f"{root}/source/songs")
     sources = warehouse.Sources(f"{root}/source/log", f"{root}/source/songs")
     warehouse.build(spark, sources, f"{root}/tables", working=True)
-    counted = None
+    folder, counted = versions.current(spark, f"{root}/tables"), None
     for table in (*S.MART_TABLES, *S.WORKING_TABLES):
-        one = layout.read_table(spark, f"{root}/tables", table).agg(
+        one = layout.read_table(spark, folder, table).agg(
             F.lit(table.name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
         )
         counted = one if counted is None else counted.unionByName(one)

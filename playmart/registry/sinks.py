@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from playmart import schemas as S
-from playmart.bindings import staging_events, staging_songs
-from playmart.operators import layout, quality, workspace
+from playmart.bindings import staging_events, staging_songs, table
+from playmart.operators import layout, quality, versions, workspace
 from playmart.plans import dims, facts, identity
 from playmart.registry import Registry
 
@@ -206,3 +206,51 @@ def _longest(table: str, columns: list[str]) -> str:
 @query("varchar_default_overflow", _longest("staging_songs", S.STAGING_SONGS.columns))
 def varchar_default_overflow(spark, sf_dir):
     return quality.longest_text(staging_songs(spark, sf_dir))
+
+
+@query(
+    "enforce_contract",
+    """
+WITH plain AS (
+  SELECT CAST(o_orderkey % 1000 AS INTEGER) AS user_id,
+    CASE WHEN o_orderkey % 50 = 7 THEN NULL ELSE 'U' || CAST(o_custkey AS VARCHAR) END AS first_name,
+    CASE WHEN o_orderkey % 50 = 11 THEN repeat('x', 257) ELSE o_orderpriority END AS last_name,
+    o_orderstatus AS gender, CASE WHEN o_totalprice > 100000 THEN 'paid' ELSE 'free' END AS level
+  FROM orders),
+ruled AS (
+  SELECT *, CASE WHEN first_name IS NULL THEN 'not null: first_name'
+    WHEN length(last_name) > 256 THEN 'max length 256: last_name' END AS broken FROM plain),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, broken IS NULL
+    ORDER BY first_name, last_name, gender, level) AS place FROM ruled)
+SELECT user_id, first_name, last_name, gender, level,
+  CASE WHEN broken IS NULL AND place > 1 THEN 'duplicate key' ELSE broken END AS rule FROM numbered""",
+)
+def enforce_contract(spark, sf_dir):
+    """User rows with missing, over-long and repeated values: those kept, the others with their rule."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.expr("CAST(o_orderkey % 1000 AS INT)").alias("user_id"),
+        F.expr("CASE WHEN o_orderkey % 50 = 7 THEN NULL ELSE concat('U', o_custkey) END").alias("first_name"),
+        F.expr("CASE WHEN o_orderkey % 50 = 11 THEN repeat('x', 257) ELSE o_orderpriority END").alias("last_name"),
+        F.col("o_orderstatus").alias("gender"),
+        F.expr("CASE WHEN o_totalprice > 100000 THEN 'paid' ELSE 'free' END").alias("level"),
+    )
+    kept, rejects = quality.enforce_contract(workspace.cut(rows, "users"), S.USERS)
+    return kept.withColumn("rule", F.lit(None).cast("string")).unionByName(rejects)
+
+
+@query("switch_version", "SELECT 'users' AS table_name, * FROM users")
+def switch_version(spark, sf_dir):
+    """A finished version stays what readers see while a later build stops midway."""
+    root = workspace.fresh_dir(spark, "versions")
+    users = dims.dim_users(staging_events(spark, sf_dir))
+    with versions.new_version(spark, root) as folder:
+        layout.replace_table(users, folder, S.USERS)
+    try:
+        with versions.new_version(spark, root) as folder:
+            layout.replace_table(users.limit(1), folder, S.USERS)
+            raise InterruptedError("stopped midway")
+    except InterruptedError:
+        pass
+    rows = layout.read_table(spark, versions.current(spark, root), S.USERS)
+    return rows.select(F.lit("users").alias("table_name"), "*")

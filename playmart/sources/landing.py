@@ -1,19 +1,20 @@
 """JSON lines to all-string staging rows.
 
 Bare numbers are quoted first, so their text lands unchanged: ``250.10``, ``1e5`` and any
-number of digits. Each line is then parsed once into a variant and every column is one path
-into it. A line must hold one object and nothing else; a second object or text behind the
-first makes it a load error, never a silent loss.
-The parsers take a DataFrame with a ``value`` column, whatever it was read from, and
-keep its other columns.
+number of digits. Each record is then parsed once into a variant and every column is one path
+into it. A record must hold one object and nothing else; a second object or text behind the
+first makes it a load error, never a silent loss. The parsers take a DataFrame with a
+``value`` column: lines as ``read_lines`` gives them, or objects of any number of lines as
+``framing.frame`` cuts them out of whole files.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.schemas import STAGING_EVENTS, STAGING_SONGS
+from playmart.operators.quality import first_violation
+from playmart.schemas import STAGING_EVENTS, STAGING_SONGS, Table
 
 # The paths of the play log, in column order.
 EVENT_PATHS = tuple(f"$.{column}" for column in STAGING_EVENTS.columns)
@@ -45,15 +46,7 @@ def parse_events(
     lines: DataFrame, paths: tuple[str, ...] = EVENT_PATHS, on_error: str = "skip"
 ) -> DataFrame:
     """Play-log lines to ``staging_events``: the n-th path fills the n-th column."""
-    if len(paths) != len(STAGING_EVENTS.columns):
-        raise ValueError(f"expected {len(STAGING_EVENTS.columns)} paths, got {len(paths)}")
-    parsed = _objects(lines, on_error)
-    return parsed.select(
-        *[
-            F.try_variant_get(_PARSED, path, "string").alias(column)
-            for column, path in zip(STAGING_EVENTS.columns, paths)
-        ]
-    )
+    return _objects(lines, on_error).select(*_event_columns(paths))
 
 
 def parse_songs(lines: DataFrame, on_error: str = "skip") -> DataFrame:
@@ -62,21 +55,55 @@ def parse_songs(lines: DataFrame, on_error: str = "skip") -> DataFrame:
     When several keys of one object differ only in case, the first key in the
     object's sorted key order wins.
     """
+    return _song_columns(_objects(lines, on_error), [])
+
+
+def tag_events(records: DataFrame, paths: tuple[str, ...] = EVENT_PATHS) -> DataFrame:
+    """Every record once: its staging columns, and ``line`` and ``reason`` if it is refused."""
+    parsed = _with_reason(records)
+    others = [c for c in parsed.columns if c not in (_PARSED, "value", "reason")]
+    return _tagged(parsed.select(*others, "value", "reason", *_event_columns(paths)), STAGING_EVENTS)
+
+
+def tag_songs(records: DataFrame) -> DataFrame:
+    """Like ``tag_events`` for song records."""
+    parsed = _with_reason(records)
+    others = [c for c in parsed.columns if c != _PARSED]
+    return _tagged(_song_columns(parsed, others), STAGING_SONGS)
+
+
+def refuse(tagged: DataFrame) -> DataFrame:
+    """Fail the job on the first record that is refused."""
+    place = F.col("file_path") if "file_path" in tagged.columns else F.lit("line")
+    message = F.concat_ws(": ", F.lit("bad line"), "reason", place, "line")
+    failing = F.when(F.col("reason").isNotNull(), F.raise_error(message).cast("string"))
+    return tagged.withColumn("reason", failing)
+
+
+def _tagged(rows: DataFrame, table: Table) -> DataFrame:
+    reason = F.coalesce("reason", first_violation(table, rows.columns))
+    rows = rows.withColumn("reason", reason)
+    return rows.withColumn("line", F.when(F.col("reason").isNotNull(), F.col("value"))).drop("value")
+
+
+def _event_columns(paths: tuple[str, ...]) -> list[Column]:
+    if len(paths) != len(STAGING_EVENTS.columns):
+        raise ValueError(f"expected {len(STAGING_EVENTS.columns)} paths, got {len(paths)}")
+    return [
+        F.try_variant_get(_PARSED, path, "string").alias(column)
+        for column, path in zip(STAGING_EVENTS.columns, paths)
+    ]
+
+
+def _song_columns(parsed: DataFrame, others: list[str]) -> DataFrame:
     entries = F.try_variant_get(_PARSED, "$", "map<string,string>")
-    parsed = (
-        _objects(lines, on_error)
-        .select(entries.alias("entries"))
-        .select(
-            F.transform(F.map_keys("entries"), F.lower).alias("keys"),
-            F.map_values("entries").alias("texts"),
-        )
-    )
-    return parsed.select(
-        *[
-            F.get("texts", F.array_position("keys", column.lower()).cast("int") - 1).alias(column)
-            for column in STAGING_SONGS.columns
-        ]
+    keyed = parsed.select(*others, entries.alias("__entries")).select(
+        *others,
+        F.transform(F.map_keys("__entries"), F.lower).alias("__keys"),
+        F.map_values("__entries").alias("__texts"),
     )
+    place = lambda c: F.array_position("__keys", c.lower()).cast("int") - 1
+    return keyed.select(*others, *[F.get("__texts", place(c)).alias(c) for c in STAGING_SONGS.columns])
 
 
 def load_errors(lines: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from playmart import schemas as S
 from playmart.__main__ import main
-from playmart.operators import layout, quality, workspace
+from playmart.operators import layout, quality, versions, workspace
 from playmart.plans import warehouse
 from tests.conftest import rows_of
 
@@ -107,8 +107,16 @@ def test_contract_and_key_checks(spark):
         ("artist_id", "max length 256"): 0,
     }
     assert rows_of(quality.check_primary_key(rows, ("name",))) == [("b", 2)]
-    good, bad = quality.split_contract(rows, S.ARTIST_NAMES)
-    assert (good.count(), bad.count()) == (2, 2)
+    stored = workspace.cut(rows.union(rows.where("name = 'b'")).unionByName(rows.limit(0)))
+    good, bad = quality.enforce_contract(stored, S.ARTIST_NAMES)
+    assert rows_of(good) == [("b", "y")]
+    assert rows_of(bad.select("name", "rule").where("length(name) < 9 or name is null")) == [
+        ("b", "duplicate key"),
+        ("b", "not null: artist_id"),
+        ("b", "not null: artist_id"),
+        (None, "not null: name"),
+    ]
+    assert bad.where("rule = 'max length 1000: name'").count() == 1
     widest = {r["column_name"]: (r["max_length"], r["overflows"]) for r in quality.longest_text(rows).collect()}
     assert widest == {"name": (1001, True), "artist_id": (1, False)}
 
@@ -164,6 +172,7 @@ def test_build_is_repeatable_and_sets_bad_rows_aside(spark, tmp_path):
     root = str(tmp_path / "out")
     for _ in range(2):
         warehouse.build(spark, warehouse.Sources(log, songs), root, working=True)
+    root = versions.current(spark, root)
     counts = {t.name: layout.read_table(spark, root, t).count() for t in S.ALL_TABLES.values()}
     assert counts == dict(
         staging_events=4, staging_songs=2, staging_artist_row=2, staging_artist_id_name=2,
@@ -210,7 +219,17 @@ def test_build_fails_on_a_bad_line_or_keeps_it_aside(spark, tmp_path):
     root = str(tmp_path / "out")
     with pytest.raises(Exception, match="bad line"):
         warehouse.build(spark, warehouse.Sources(log, songs), root)
+    assert versions.manifest(spark, root) == {}
     warehouse.build(spark, warehouse.Sources(log, songs, on_error="skip"), root)
+    first = versions.manifest(spark, root)["version"]
+    # a build that stops midway, here on the bad line, leaves the former version as it is
+    with pytest.raises(Exception, match="bad line"):
+        warehouse.build(spark, warehouse.Sources(log, songs), root)
+    assert versions.manifest(spark, root)["version"] == first
+    assert os.listdir(f"{root}/versions") == [first]
+    root = versions.current(spark, root)
+    counts = [tuple(r) for r in spark.read.parquet(f"{root}/landing_counts").orderBy("collection").collect()]
+    assert counts == [("staging_events", 5, 1, 4, True), ("staging_songs", 2, 0, 2, True)]
     assert [r["line"] for r in spark.read.parquet(f"{root}/load_errors").collect()] == ['{"page":']
     assert layout.read_table(spark, root, S.STAGING_EVENTS).count() == 4
 
