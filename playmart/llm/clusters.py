@@ -1,25 +1,33 @@
 """Connected components of items that share a signature and pass an exact comparison.
 
-Within a bucket of one signature the members are compared with its centre, the node that
-meets most others: one comparison per member gives most links. What shared signatures
-connect is a cluster; where a cluster is still several components after that, its members
-are compared with each other in blocks. So components come out as if all pairs in all
-buckets had been compared, and no link between different items is lost. A busy centre or a
-large cluster is dealt to many tasks, and a task holds one item or one block.
+Signatures say which items may be linked; a mark of some bytes an item then refutes most pairs
+before any text moves, and only for pairs it leaves open are the texts fetched and compared.
+
+Within a bucket of one signature the members are first held against its centre, the node that
+meets most others: one pair per member gives most links. Buckets that are still several
+components after that are looked through once more, by marks alone: members outside the
+bucket's largest component against all members of other components. So components come out as
+if all pairs in all buckets had been compared, no link between different items is lost, and
+pairs inside a component are never spelled out. Buckets with the same members count once. A busy
+centre, and a large bucket, are dealt to many tasks: a task holds one item, or one block of
+marks, and reads one slice.
 
 A comparison is a class, named by module and name with its arguments: ``prepare(text)`` gives
-(node, item), ``linked(item, item)`` decides, and ``block(rows)`` gives an object with
-``links(part, item)``.
+(node, item); ``linked(item, item)`` decides; ``near(sizes, marks, sizes, marks)`` is False for
+pairs, row by row, that cannot be linked; ``block(sizes, marks)`` has ``near(size, mark)``, the same for one
+item against a block.
 """
 
 from __future__ import annotations
 
 import importlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playmart.operators.grouping import attach
 from playmart.operators.workspace import cut
@@ -28,17 +36,26 @@ from .common import arrow_map, components, slices
 
 #: Members one task compares with a centre.
 MEMBERS_PER_TASK = 128
-#: Items of a cluster that are held at once when its components are compared with each other.
-BLOCK = 128
-#: Rows up to which a counted side is broadcast; beyond, Spark joins by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Marks of a bucket that are held at once, and marks they are compared with by one task.
+BLOCK, SLICE = 256, 8192
+#: Measured bytes up to which a written side is broadcast; beyond, Spark joins by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 Comparison = tuple  # (module, class, *arguments)
 
 
-def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a written side of a few long columns whose rows, counted here, are few."""
-    return F.broadcast(df) if df.count() <= rows else df
+def if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast a written side whose size, measured here, is small; lists count by their entries."""
+    size = F.lit(0)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.ArrayType):
+            size = size + 32 + 16 * F.greatest(F.size(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + 32 + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            size = size + 16
+    measured = df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if measured <= limit else df
 
 
 def _tool(comparison: Comparison):
@@ -46,6 +63,10 @@ def _tool(comparison: Comparison):
     return getattr(importlib.import_module(module), name)(*args)
 
 
+def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _compare(batches: Iterator[pa.RecordBatch], comparison: Comparison):
     """Rows sorted by (a, salt, member): a centre's own row, then its members."""
     tool, centre, held = _tool(comparison), None, None
@@ -60,29 +81,42 @@ def _compare(batches: Iterator[pa.RecordBatch], comparison: Comparison):
             elif centre == c and tool.linked(held, item):
                 a.append(c)
                 b.append(node)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        yield _pairs(a, b)
+
+
+def _near(batches: Iterator[pa.RecordBatch], comparison: Comparison):
+    """Pairs that their marks do not refute."""
+    tool = _tool(comparison)
+    for batch in batches:
+        if batch.num_rows:
+            size_a, mark_a, size_b, mark_b = (batch.column(n).to_pylist() for n in ("size_a", "mark_a", "size_b", "mark_b"))
+            keep = tool.near(np.array(size_a), mark_a, np.array(size_b), mark_b)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _compare_blocks(batches: Iterator[pa.RecordBatch], comparison: Comparison):
-    """Rows sorted by (cluster, block, other): the block's own items, then those to compare."""
+def _near_blocks(batches: Iterator[pa.RecordBatch], comparison: Comparison):
+    """Rows sorted by (signature, block, slice, other): the block's own marks, then those to compare."""
     tool, key, own, block = _tool(comparison), None, [], None
-    names = ("cluster", "block", "other", "node", "part", "text")
-    for batch in slices(batches):
+    names = ("signature", "block", "slice", "other", "major", "node", "part", "size", "mark")
+    for batch in batches:
         a, b = [], []
-        for cluster, number, other, node, part, text in zip(*(batch.column(n).to_pylist() for n in names)):
-            name, item = tool.prepare(text or "")
-            if name != node:
-                continue  # another text under a repeated id
-            if (cluster, number) != key:
-                key, own, block = (cluster, number), [], None
+        for signature, number, share, other, major, node, part, size, mark in zip(*(batch.column(n).to_pylist() for n in names)):
+            if (signature, number, share) != key:
+                key, own, block = (signature, number, share), [], None
             if not other:
-                own.append((node, part, item))
+                own.append((node, part, size, mark))
             elif own:
-                block = block or tool.block(own)
-                found = block.links(part, item)
-                a += [node] * len(found)
-                b += found
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                if block is None:
+                    nodes, parts, sizes, marks = zip(*own)
+                    nodes, parts = np.array(nodes), np.array(parts)
+                    block = tool.block(np.array(sizes), marks)
+                keep = block.near(size, mark) & (parts != part)
+                if not major:  # this one is held by a block as well; once is enough
+                    keep &= nodes < node
+                hit = nodes[keep].tolist()
+                a += hit
+                b += [node] * len(hit)
+        yield _pairs(a, b)
 
 
 def shared_buckets(signed: DataFrame) -> DataFrame:
@@ -111,45 +145,72 @@ def stars_of(members: DataFrame) -> DataFrame:
     return cut(stars.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "stars")
 
 
-def linked_components(stars: DataFrame, held: DataFrame, comparison: Comparison) -> DataFrame:
-    """(node, component) of all nodes with a link; ``held`` has (node, text) of every node in ``stars``."""
-    found = cut(components(_star_links(held, stars, comparison)), "found")
-    more = cut(_across(held, stars, found, comparison), "links")
-    if more.isEmpty():
+def linked_components(
+    members: DataFrame, facts: DataFrame, fetch: Callable[[DataFrame], DataFrame], comparison: Comparison
+) -> DataFrame:
+    """(node, component) of all nodes with a link.
+
+    ``members`` are written buckets (signature, node, met); ``facts`` has (node, size, mark binary), one row a
+    node; ``fetch(nodes)`` gives (node, text) of a frame of nodes.
+    """
+    known = cut(attach(facts, members.select("node").distinct(), ["node"], "left_semi"), "known")
+    near = cut(_open_pairs(stars_of(members), known, comparison), "near")
+    found = cut(components(_verified(near, fetch, comparison)), "found")
+    across = cut(_across(members, known, found, comparison).distinct(), "across")
+    if across.isEmpty():
         return found
     chains = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return cut(components(chains.union(more)), "found")
+    return cut(components(chains.union(_verified(across, fetch, comparison))), "found")
+
+
+def _open_pairs(pairs: DataFrame, known: DataFrame, comparison: Comparison) -> DataFrame:
+    for end in ("a", "b"):
+        own = known.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("mark").alias(f"mark_{end}"))
+        pairs = attach(pairs, own, [end], "inner")
+    return arrow_map(pairs, "a long, b long", _near, comparison)
 
 
-def _star_links(held: DataFrame, pairs: DataFrame, comparison: Comparison) -> DataFrame:
+def _verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], comparison: Comparison) -> DataFrame:
+    """The pairs whose texts are linked; members of a busy ``a`` are dealt to several tasks."""
     shares = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).alias("shares"))
     salted = attach(pairs, shares, ["a"], "inner")
     salted = cut(salted.select("a", "b", F.pmod(F.xxhash64("b"), "shares").alias("salt")), "pairs")
     members = salted.select("a", "salt", F.col("b").alias("node"), F.lit(True).alias("member"))
     centres = salted.select("a", "salt", F.col("a").alias("node"), F.lit(False).alias("member")).distinct()
-    rows = members.union(centres).join(held, "node")
+    rows = members.union(centres)
+    rows = attach(rows, fetch(rows.select("node").distinct()), ["node"], "inner")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
     return arrow_map(rows.select("a", "node", "member", "text"), "a long, b long", _compare, comparison)
 
 
-def _across(held: DataFrame, stars: DataFrame, found: DataFrame, comparison: Comparison) -> DataFrame:
-    """Links between different components of one cluster, as (a, b).
-
-    Most clusters are one component by now and drop out. Each block of the others meets the
-    items of its own and of later blocks as a stream.
-    """
-    clusters = components(stars).withColumnRenamed("component", "cluster")
-    parts = attach(clusters, found, ["node"], "left")
-    parts = parts.select("cluster", "node", F.coalesce("component", "node").alias("part"))
-    mixed = parts.groupBy("cluster").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.ceil(F.count("*") / BLOCK).alias("blocks")
+def _across(members: DataFrame, known: DataFrame, found: DataFrame, comparison: Comparison) -> DataFrame:
+    """Pairs of different components of one bucket that their marks leave open, as (a, b)."""
+    parts = attach(members.select("signature", "node").distinct(), found, ["node"], "left")
+    parts = parts.select("signature", "node", F.coalesce("component", "node").alias("part"))
+    whole = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(20,0)"))
+    mixed = parts.groupBy("signature").agg(
+        F.min("part").alias("low"),
+        F.max("part").alias("high"),
+        F.count("*").alias("n"),
+        F.struct(whole("node"), whole("node", F.lit(1))).alias("same"),
+    )
+    mixed = mixed.where("low < high").groupBy("same", "n").agg(F.min("signature").alias("signature"))
+    parts = cut(attach(parts, mixed.select("signature", "n"), ["signature"], "inner"), "parts")
+    sizes = parts.groupBy("signature", "part").agg(F.count("*").alias("own"))
+    largest = sizes.groupBy("signature").agg(F.max(F.struct("own", "part")).alias("top"))
+    largest = largest.select("signature", F.col("top.part").alias("top"), F.col("top.own").alias("top_n"))
+    rows = attach(attach(parts, largest, ["signature"], "inner"), known, ["node"], "inner")
+    rows = rows.select(
+        *["signature", "node", "part", "size", "mark", (F.col("part") == F.col("top")).alias("major")],
+        F.ceil((F.col("n") - F.col("top_n")) / BLOCK).alias("blocks"),
+        F.ceil(F.col("n") / SLICE).alias("slices"),
     )
-    parts = attach(parts, mixed.where("low < high").select("cluster", "blocks"), ["cluster"], "inner")
-    parts = cut(parts.withColumn("own", F.pmod(F.xxhash64("node"), "blocks")), "parts")
-    first = parts.select("cluster", F.col("own").alias("block"), F.lit(False).alias("other"), "node", "part")
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), "own")).alias("block")
-    others = parts.select("cluster", block, F.lit(True).alias("other"), "node", "part")
-    rows = first.union(others).join(held, "node")
-    rows = rows.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "other")
-    rows = rows.select("cluster", "block", "other", "node", "part", "text")
-    return arrow_map(rows, "a long, b long", _compare_blocks, comparison)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    columns = ["signature", "block", "slice", "other", "major", "node", "part", "size", "mark"]
+    held = rows.where("not major").withColumns({"block": F.pmod(F.xxhash64("node"), "blocks"), "other": F.lit(False)})
+    others = rows.withColumns({"slice": F.pmod(F.xxhash64("node"), "slices"), "other": F.lit(True)})
+    dealt = held.withColumn("slice", every("slices")).select(*columns)
+    dealt = dealt.union(others.withColumn("block", every("blocks")).select(*columns))
+    dealt = dealt.repartition("signature", "block", "slice")
+    dealt = dealt.sortWithinPartitions("signature", "block", "slice", "other")
+    return arrow_map(dealt, "a long, b long", _near_blocks, comparison)

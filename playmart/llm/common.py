@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def arrow_map(df: DataFrame, schema: str, target: Callable, *args) -> DataFrame:
     """``target(batches, *args)`` over Arrow batches; workers find the package by its path."""
     module, name, root = target.__module__, target.__name__, ROOT
@@ -101,30 +109,33 @@ def shingles(text: str, width: int) -> np.ndarray:
     return np.unique(window_hashes(hash_words(words), width))
 
 
-def components(edges: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of ``edges`` (a long, b long) as (node, component = smallest node).
 
-    Alternating large-star and small-star steps. Each step lowers endpoints to the
-    smallest neighbour with a plain minimum per node and a join back, so a hub of any
-    degree is reduced before it is shuffled and the join can be split. Every round is a
-    written table in the shared folder. Nodes without an edge are not listed.
+    Alternating large-star and small-star steps, which settle in a number of rounds that grows
+    with the logarithm of the nodes. Each step lowers endpoints to the smallest neighbour with
+    a plain minimum per node and a join back, so a hub of any degree is reduced before it is
+    shuffled and the join can be split. Every round is one written table in the shared folder.
+    Nodes without an edge are not listed.
     """
-    spark = edges.sparkSession
     now = cut(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), label
     )
 
     def measure(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        """(edges, their fingerprint, nodes that are both an upper and a lower end)."""
+        ends = df.select("a", F.lit(1).alias("up")).union(df.select("b", F.lit(0)))
+        inner = ends.groupBy("a").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.sum("up").alias("n"))
+        inner = inner.where("(low < high) or n > 1").limit(1).count()
+        counted = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
+        return (*counted, inner)
 
     state = measure(now)
-    for _ in range(rounds):
-        if not state[0]:
-            break
+    while state[0] and state[2]:  # done when every upper end has one edge, and no lower end has any
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = attach(both, least, ["a"], "inner").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = cut(large.where("a <> b").distinct(), label)
+        large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = attach(large, least, ["a"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.where("a <> b").union(least.select("a", F.col("m").alias("b")))
@@ -132,7 +143,5 @@ def components(edges: DataFrame, label: str = "components", rounds: int = 60) ->
         before, state = state, measure(now)
         if before == state:
             break
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots).distinct()

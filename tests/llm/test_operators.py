@@ -14,6 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from playmart.llm import (
+    clusters,
     common,
     decontam,
     html_text,
@@ -28,13 +29,13 @@ from playmart.llm import (
     wordcache,
 )
 
-COLUMNS = "doc_id long, text string, node long, at string, lines string"
+COLUMNS = "doc_id long, text string, node long, at string, lines string, n_lines int, dropped int"
 LONG = "word " * 30_000
 
 
 def docs_of(spark, rows):
     """Documents with extra columns whose names the operators use themselves."""
-    return spark.createDataFrame([(i, t, 7, "x", "y") for i, t in rows], COLUMNS).repartition(3)
+    return spark.createDataFrame([(i, t, 7, "x", "y", 1, 2) for i, t in rows], COLUMNS).repartition(3)
 
 
 AWKWARD = [(1, None), (2, ""), (3, "\n \n"), (4, "one"), (4, "one"), (None, "no id here"), (5, LONG), (6, "ß é 日本 🙂")]
@@ -230,10 +231,101 @@ def test_line_dedup(spark):
     near = base[:70] + ["changed"] + base[71:]
     rows = [(1, "Keep me 12.\n" + " ".join(base)), (2, "keep  ME 34\nown line"), (3, " ".join(near) + "\n***"), (4, None)]
     found = {r["doc_id"]: (r["n_dropped"], r["text"]) for r in line_dedup.report(docs_of(spark, rows)).collect()}
-    assert found[1] == (0, rows[0][1]) and found[2] == (1, "own line") and found[4] == (0, None)
-    a, b = (line_dedup.Lines().prepare(" ".join(x))[1] for x in (base, near))
-    assert line_dedup.edits(a[1], b[1]) == 1
-    assert found[3] == ((1, "***") if line_dedup.Lines().linked(a, b) else (0, rows[2][1]))
+    assert found == {1: (0, rows[0][1]), 2: (1, "own line"), 3: (1, "***"), 4: (0, None)}
+
+
+def line_words(text):
+    """Normalised words of each line that has any, with its number."""
+    plain = "".join("0" if c in "0123456789" else c.lower() if c.isascii() and c.isalpha() else c if not c.isascii() or c == "\n" else " " for c in text)
+    return [(n, tuple(x.split())) for n, x in enumerate(plain.split("\n")) if x.split()]
+
+
+def similar_lines(lines, percent):
+    """All pairs of different lines with an edit similarity of ``percent``, by a prefix filter that misses none."""
+    rare = Counter(w for line in lines for w in set(line))
+    code = {w: k for k, w in enumerate(rare)}
+    met, out = {}, set()
+    for n, line in enumerate(lines):
+        prefix = len(line) * (100 - percent) // percent + 1
+        near = set()
+        for w in sorted(line, key=lambda w: (rare[w], w))[:prefix]:
+            near.update(met.get(w, ()))
+            met.setdefault(w, []).append(n)
+        own = np.array([code[w] for w in line])
+        for m in near:
+            longest = max(len(line), len(lines[m]))
+            if 100 * min(len(line), len(lines[m])) >= percent * longest:
+                other = np.array([code[w] for w in lines[m]])
+                if 100 * (longest - line_dedup.edits(own, other)) >= percent * longest:
+                    out.add((m, n))
+    return out
+
+
+def line_parts(rows, percent, least):
+    """Which occurrences stay when all similar pairs are joined: (doc_id, line) of the others."""
+    places = {}
+    for doc_id, text in sorted(rows):
+        for n, words in line_words(text):
+            places.setdefault(words, []).append((doc_id, n))
+    lines = sorted(w for w in places if len(w) >= least)
+    root = {w: w for w in places}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in similar_lines(lines, percent):
+        root[find(lines[a])] = find(lines[b])
+    groups = {}
+    for words, own in places.items():
+        groups.setdefault(find(words), []).extend(own)
+    return {p for own in groups.values() for p in sorted(own)[1:]}
+
+
+def test_line_dedup_matches_all_pairs(spark):
+    """Long lines with one or two words replaced, inserted or taken out, and copies among them."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 6))
+    rows, bases = [], [[word() for _ in range(rng.integers(40, 90))] for _ in range(12)]
+    for doc_id in range(80):
+        own = []
+        for _ in range(4):
+            line = list(bases[rng.integers(len(bases))]) if rng.random() < 0.6 else [word() for _ in range(30)]
+            for _ in range(rng.integers(0, 3)):
+                k, how = rng.integers(len(line)), rng.integers(3)
+                line[k : k + (how < 2)] = [word()] if how else []
+            own.append(" ".join(line))
+        rows.append((doc_id, "\n".join(own)))
+    kept = {(r["doc_id"]): r["text"] for r in line_dedup.report(docs_of(spark, rows)).collect()}
+    gone = line_parts(rows, line_dedup.PERCENT, line_dedup.FUZZY_WORDS)
+    expected = {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in rows}
+    assert len(gone) > 150
+    assert sum(kept[i] == expected[i] for i in expected) >= 0.97 * len(rows)
+
+
+@pytest.mark.parametrize("percent, share", [(95, 0.95), (90, 0.9)])
+def test_line_keys_find_similar_lines(spark, percent, share):
+    """Recall of the keys over all pairs of lines of the documents, and over lines with a word replaced."""
+    rng = np.random.default_rng(5)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    lines = sorted({w for r in rows for _, w in line_words(r["text"] or "") if len(w) >= line_dedup.FUZZY_WORDS})
+    edited = []
+    for line in lines[:: max(1, len(lines) // 1500)]:
+        k = int(rng.integers(len(line)))
+        if 100 * (len(line) - 1) >= percent * len(line):
+            edited.append((line, line[:k] + (lines[int(rng.integers(len(lines)))][0],) + line[k + 1 :]))
+    pairs = [(lines[a], lines[b]) for a, b in similar_lines(lines, percent)]
+
+    def keys(line):
+        words, _ = line_dedup.word_hashes(" ".join(line).encode())
+        n = np.array([len(words)])
+        return line_dedup.keys_of(line_dedup.simhashes(words, n), n, words[:1], words[-1:])
+
+    for some in (pairs, edited):
+        found = sum(bool((keys(a) == keys(b)).any()) for a, b in some)
+        print(percent, len(some), found)
+        assert found >= share * len(some)
 
 
 def test_edits_match_table():
@@ -248,6 +340,39 @@ def test_edits_match_table():
         assert line_dedup.edits(a, b) == table[-1, -1]
 
 
+def test_linked_sets_share_a_signature_and_marks_never_refute_them():
+    rng = np.random.default_rng(6)
+    linked = 0
+    for _ in range(3000):
+        size, percent = int(rng.integers(1, 500)), int(rng.choice([60, 80, 90]))
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        n = int(rng.integers(0, (100 - percent) * size // 100 + 2))
+        new, cut = rng.integers(0, 2**63, n).astype(np.uint64), int(rng.integers(0, n + 1))
+        a, b = np.unique(a), np.unique(np.concatenate((a[n - cut :], new[:cut])))
+        both = len(np.intersect1d(a, b))
+        if not len(b) or 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        linked += 1
+        tool = ngram_join.ShingleSets(3, percent)
+        assert len(np.intersect1d(ngram_join.signatures(a, percent), ngram_join.signatures(b, percent)))
+        marks = [ngram_join.mark_of(a)], [ngram_join.mark_of(b)]
+        assert tool.near(np.array([len(a)]), marks[0], np.array([len(b)]), marks[1]).all()
+        assert tool.block(np.array([len(a)]), marks[0]).near(len(b), marks[1][0]).all()
+    assert linked > 2000
+
+
+def test_marks_refute_pairs_before_texts_move(spark):
+    """Of the pairs that share a signature at the pipeline's setting, few are left to compare."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    source = ngram_join.arrow_map(docs.select("text"), "signature long, node long", ngram_join._signed, 5, 80)
+    members = ngram_join.shared_buckets(source)
+    stars = clusters.stars_of(members)
+    profile = ngram_join.arrow_map(docs.select("doc_id", "text"), ngram_join.PROFILE, ngram_join._profile, 5)
+    known = profile.where("node is not null").groupBy("node").agg({"n_shingles": "max", "mark": "max"}).toDF("node", "size", "mark")
+    left = clusters._open_pairs(stars, known, ("playmart.llm.ngram_join", "ShingleSets", 5, 80)).count()
+    assert left <= 0.1 * docs.count()
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(200, 100), (100, 150)]
     found = common.components(spark.createDataFrame(edges, "a long, b long"))
