@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playmart.functions import calendar as cal
 from playmart.functions.casts import to_decimal, to_int, to_long
-from playmart.operators.grouping import first_row_per
+from playmart.operators.ranking import first_row_per
 from playmart.schemas import TIME
 
 PLAY_PAGE = "NextSong"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playmart.operators.grouping import first_row_per
+from playmart.operators.ranking import first_row_per
 
 PLAYED_SECONDS = "decimal(29,4)"
 

@@ -12,12 +12,12 @@ from playmart.functions.casts import to_decimal
 from playmart.operators.grouping import (
     attach,
     duplicate_groups,
-    first_pairs,
     keep_first_groups,
     keep_groups,
     n_rows,
     several,
 )
+from playmart.operators.ranking import first_pairs
 from playmart.operators.workspace import cut
 from playmart.plans.dims import dim_time, plays
 from playmart.plans.facts import fact_songplays

@@ -15,6 +15,8 @@ from playmart.registry.views import VIEWS
 class Query:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None = None
+    #: Columns whose values stand in the same sequence in both results; ties may come in any order.
+    order: tuple[str, ...] = ()
 
 
 def oracle(body: str) -> str:
@@ -37,11 +39,11 @@ def oracle(body: str) -> str:
 class Registry(dict):
     """key -> Query, filled by decorated functions of (spark, sf_dir)."""
 
-    def query(self, key: str, sql: str | None = None):
+    def query(self, key: str, sql: str | None = None, order: tuple[str, ...] = ()):
         def add(run):
             if key in self:
                 raise ValueError(f"duplicate query {key}")
-            self[key] = Query(run, oracle(sql) if sql else None)
+            self[key] = Query(run, oracle(sql) if sql else None, order)
             return run
 
         return add

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playmart.bindings import staging_events, staging_songs
+from playmart.bindings import staging_events, staging_songs, table
 from playmart.functions.casts import to_decimal, to_int
-from playmart.operators import grouping, layout, workspace
+from playmart.operators import grouping, layout, ranking, workspace
 from playmart.operators.grouping import n_rows
 from playmart.plans import dims, facts, identity, marts, profiling
 from playmart.registry import Registry
@@ -571,7 +571,7 @@ WHERE newest = 1""",
 )
 def row_number_latest(spark, sf_dir):
     rows = events(spark, sf_dir, "userId", "ts", "itemInSession", "sessionId", "level")
-    return grouping.first_row_per(rows, ["userId"], dims.latest_first()).drop("sessionId")
+    return ranking.first_row_per(rows, ["userId"], dims.latest_first()).drop("sessionId")
 
 
 @query(
@@ -647,6 +647,7 @@ def two_partitionings(spark, sf_dir):
 @query(
     "order_by",
     "SELECT name, artist_id FROM artist_names ORDER BY name, artist_id DESC NULLS LAST",
+    order=("name", "artist_id"),
 )
 def order_by(spark, sf_dir):
     resolved = identity.resolve_artist_ids(songs(spark, sf_dir))
@@ -658,6 +659,7 @@ def order_by(spark, sf_dir):
 @query(
     "order_by_ordinal",
     "SELECT state, artist_name, stream_count FROM state_plays ORDER BY 3 DESC, 2, 1 LIMIT 25",
+    order=("stream_count", "artist_name", "state"),
 )
 def order_by_ordinal(spark, sf_dir):
     counted = songplays(spark, sf_dir).groupBy(marts.state_of().alias("state"), "artist_name").agg(
@@ -670,6 +672,7 @@ def order_by_ordinal(spark, sf_dir):
     "order_by_multi",
     "SELECT title, artist_name, count(*) AS n FROM staging_songs GROUP BY 1, 2 "
     "ORDER BY 1 NULLS LAST, 2 NULLS LAST LIMIT 50",
+    order=("title", "artist_name"),
 )
 def order_by_multi(spark, sf_dir):
     counted = songs(spark, sf_dir).groupBy("title", "artist_name").agg(n_rows().alias("n"))
@@ -678,7 +681,7 @@ def order_by_multi(spark, sf_dir):
     ).limit(50)
 
 
-@query("limit_n", "SELECT * FROM time_dim ORDER BY time_key LIMIT 14")
+@query("limit_n", "SELECT * FROM time_dim ORDER BY time_key LIMIT 14", order=("time_key",))
 def limit_n(spark, sf_dir):
     return profiling.time_dim_preview(events(spark, sf_dir, "page", "ts"))
 
@@ -687,6 +690,7 @@ def limit_n(spark, sf_dir):
     "limit_offset",
     "SELECT * FROM id_name ORDER BY artist_name NULLS LAST, artist_id NULLS LAST "
     "LIMIT 10 OFFSET 20",
+    order=("artist_name", "artist_id"),
 )
 def limit_offset(spark, sf_dir):
     flags = identity.artist_id_name_flags(songs(spark, sf_dir))
@@ -699,6 +703,7 @@ def limit_offset(spark, sf_dir):
     "top_k",
     "SELECT artist_name, count(*) AS stream_count FROM songplays GROUP BY 1 "
     "ORDER BY 2 DESC, 1 NULLS LAST LIMIT 20",
+    order=("stream_count", "artist_name"),
 )
 def top_k(spark, sf_dir):
     counted = songplays(spark, sf_dir).groupBy("artist_name").agg(marts.play_count())
@@ -716,7 +721,7 @@ SELECT user_id, song_title, n FROM (
 def top_1_per_group(spark, sf_dir):
     counted = songplays(spark, sf_dir).groupBy("user_id", "song_title").agg(n_rows().alias("n"))
     order = [F.desc("n"), F.col("song_title").asc_nulls_last()]
-    return grouping.first_row_per(counted, ["user_id"], order)
+    return ranking.first_row_per(counted, ["user_id"], order)
 
 
 @query(
@@ -725,6 +730,7 @@ def top_1_per_group(spark, sf_dir):
     "ORDER BY artist_latitude DESC NULLS LAST, artist_name ASC NULLS FIRST, "
     "artist_id ASC NULLS LAST, artist_longitude ASC NULLS LAST, "
     "artist_location ASC NULLS LAST",
+    order=("artist_latitude", "artist_name", "artist_id"),
 )
 def null_order(spark, sf_dir):
     rows = identity.artist_rows(songs(spark, sf_dir))
@@ -737,6 +743,67 @@ def null_order(spark, sf_dir):
     ).select("artist_name", "artist_id", "artist_latitude")
 
 
+@query(
+    "order_by_position",
+    "SELECT row_number() OVER (ORDER BY name, artist_id DESC NULLS LAST) AS place, name, artist_id "
+    "FROM artist_names",
+)
+def order_by_position(spark, sf_dir):
+    """``order_by`` with every row's place, numbered without bringing the rows together."""
+    resolved = identity.resolve_artist_ids(songs(spark, sf_dir))
+    rows = resolved.select(
+        F.col("artist_name").alias("name"), F.col("recalculated_artist_id").alias("artist_id")
+    )
+    return ranking.number_in_order(rows, [F.asc("name"), F.col("artist_id").desc_nulls_last()], "place")
+
+
+@query(
+    "null_order_position",
+    "SELECT row_number() OVER (ORDER BY artist_latitude DESC NULLS LAST, artist_name ASC NULLS FIRST, "
+    "artist_id ASC NULLS LAST, artist_longitude ASC NULLS LAST, artist_location ASC NULLS LAST) AS place, "
+    "artist_name, artist_id, artist_latitude FROM artist_row",
+)
+def null_order_position(spark, sf_dir):
+    """``null_order`` with every row's place."""
+    rows = identity.artist_rows(songs(spark, sf_dir))
+    order = [
+        F.col("artist_latitude").desc_nulls_last(),
+        F.col("artist_name").asc_nulls_first(),
+        F.col("artist_id").asc_nulls_last(),
+        F.col("artist_longitude").asc_nulls_last(),
+        F.col("artist_location").asc_nulls_last(),
+    ]
+    placed = ranking.number_in_order(rows, order, "place")
+    return placed.select("place", "artist_name", "artist_id", "artist_latitude")
+
+
+@query(
+    "top_n_per_group",
+    """
+SELECT event_type, place, event_id, value FROM (
+  SELECT event_type, event_id, value, row_number() OVER (PARTITION BY event_type
+    ORDER BY value DESC NULLS LAST, event_id NULLS LAST) AS place FROM events) WHERE place <= 2000""",
+)
+def top_n_per_group(spark, sf_dir):
+    """More rows of each of a few large groups than a limited window would hold in a task."""
+    order = [F.col("value").desc_nulls_last(), F.col("event_id").asc_nulls_last()]
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    return ranking.first_row_per(rows, ["event_type"], order, 2000, rank_as="place")
+
+
+@query(
+    "first_pairs_many",
+    """
+SELECT DISTINCT a.artist_name, a.artist_id AS left_id, b.artist_id AS right_id
+FROM id_name a JOIN id_name b ON a.artist_name = b.artist_name AND a.artist_id > b.artist_id
+ORDER BY 1, 2, 3 LIMIT 3000""",
+)
+def first_pairs_many(spark, sf_dir):
+    """The first 3,000 pairs of ids that share a name."""
+    pairs = ranking.first_pairs(songs(spark, sf_dir), "artist_name", "artist_id", 3000, ordered=True)
+    return pairs.toDF("artist_name", "left_id", "right_id")
+
+
 @query("union_steps", "SELECT * FROM steps14")
 def union_steps(spark, sf_dir):
     """The rows of steps 1 to 4 put together by column name."""

@@ -59,11 +59,10 @@ def artist_after(spark, sf_dir):
 @query(
     "top_users",
     """
-SELECT concat_ws(' ', first_name, last_name) AS full_name,
-  CAST(sum(n) AS BIGINT) AS stream_count
-FROM (SELECT user_id, count(*) AS n FROM songplays GROUP BY user_id)
-JOIN users USING (user_id)
-GROUP BY full_name ORDER BY stream_count DESC, full_name LIMIT 5""",
+SELECT u.first_name || ' ' || u.last_name AS full_name, count(sp.start_time) AS stream_count
+FROM songplays sp LEFT JOIN users u ON sp.user_id = u.user_id
+GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5""",
+    order=("stream_count", "full_name"),
 )
 def top_users(spark, sf_dir):
     log = events(spark, sf_dir)
@@ -73,8 +72,10 @@ def top_users(spark, sf_dir):
 @query(
     "busiest_hours",
     """
-SELECT CAST(start_time_key % 100 AS INTEGER) AS hour, count(*) AS stream_count
-FROM songplays GROUP BY hour ORDER BY stream_count DESC, hour LIMIT 5""",
+SELECT t.hour, count(sp.start_time) AS stream_count
+FROM songplays sp LEFT JOIN time_dim t ON sp.start_time_key = t.time_key
+GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5""",
+    order=("stream_count", "hour"),
 )
 def busiest_hours(spark, sf_dir):
     log = events(spark, sf_dir)
@@ -88,6 +89,7 @@ def busiest_hours(spark, sf_dir):
 SELECT state, CAST(sum(stream_count) AS BIGINT) AS stream_count,
   CAST(sum(stream_duration) AS DECIMAL(29,4)) AS stream_duration
 FROM state_plays GROUP BY 1 ORDER BY 2 DESC, 3 DESC NULLS LAST, 1 NULLS LAST LIMIT 5""",
+    order=("stream_count", "stream_duration", "state"),
 )
 def busiest_states(spark, sf_dir):
     return marts.busiest_states(facts.fact_songplays(events(spark, sf_dir)))

@@ -225,6 +225,7 @@ def json_lines_count(spark, sf_dir):
     "peek_rows",
     "SELECT * FROM staging_events WHERE page = 'NextSong' "
     "ORDER BY ts NULLS LAST, userId NULLS LAST, itemInSession NULLS LAST LIMIT 5",
+    order=("ts", "userId", "itemInSession"),
 )
 def peek_rows(spark, sf_dir):
     return objects.peek_rows(

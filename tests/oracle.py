@@ -38,8 +38,7 @@ def _kind(spark_type: str) -> str:
 def spark_result(df):
     names = sorted(df.columns)
     kinds = {f.name: _kind(f.dataType.simpleString()) for f in df.schema.fields}
-    rows = Counter(tuple(_plain(r[n]) for n in names) for r in df.collect())
-    return names, [kinds[n] for n in names], rows
+    return names, [kinds[n] for n in names], [tuple(_plain(r[n]) for n in names) for r in df.collect()]
 
 
 def duck_result(db, sql):
@@ -47,19 +46,29 @@ def duck_result(db, sql):
     kinds = dict(zip(relation.columns, (str(t).lower() for t in relation.types)))
     names = sorted(relation.columns)
     at = [relation.columns.index(n) for n in names]
-    rows = Counter(tuple(_plain(r[i]) for i in at) for r in relation.fetchall())
-    return names, [kinds[n] for n in names], rows
+    return names, [kinds[n] for n in names], [tuple(_plain(r[i]) for i in at) for r in relation.fetchall()]
 
 
-def differences(df, db, sql) -> str:
-    """Empty when both agree on column names, types and rows."""
-    return compare(df, db, sql)[0]
+def differences(df, db, sql, order=()) -> str:
+    """Empty when both agree on column names, types, rows and, if asked, on the sequence."""
+    return compare(df, db, sql, order)[0]
 
 
-def compare(df, db, sql) -> tuple[str, int]:
-    """What differs, and the number of rows Spark returned."""
-    result = spark_result(df)
-    return _compare(result, duck_result(db, sql)), sum(result[2].values())
+def compare(df, db, sql, order=()) -> tuple[str, int]:
+    """What differs, and the number of rows Spark returned.
+
+    ``order`` names columns whose values must come in the same sequence: rows that tie in
+    them may change places.
+    """
+    ours, theirs = spark_result(df), duck_result(db, sql)
+    problem = _compare((*ours[:2], Counter(ours[2])), (*theirs[:2], Counter(theirs[2])))
+    if not problem and order:
+        at = [ours[0].index(c) for c in order]
+        for place, (a, b) in enumerate(zip(ours[2], theirs[2])):
+            if [a[i] for i in at] != [b[i] for i in at]:
+                problem = f"sequence: row {place} is {a}, not {b}"
+                break
+    return problem, len(ours[2])
 
 
 def _compare(ours, theirs) -> str:

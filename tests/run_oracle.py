@@ -17,11 +17,12 @@ if __name__ == "__main__":
     sf_dir, keys = sys.argv[1], sys.argv[2:]
     spark = local_session(8)
     runs, sqls = entry.queries(), entry.oracle_sql()
+    orders = {key: query.order for key, query in entry.warehouse().items()}
     db, bad = connect(sf_dir), 0
     for key in keys or sqls:
         start = time.time()
         try:
-            problem, n = compare(runs[key](spark, sf_dir), db, sqls[key])
+            problem, n = compare(runs[key](spark, sf_dir), db, sqls[key], orders.get(key, ()))
         except Exception:
             problem, n = traceback.format_exc()[-1500:], -1
         bad += bool(problem)

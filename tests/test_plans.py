@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from playmart.operators.grouping import (
     attach,
-    first_pairs,
-    first_row_per,
     keep_first_groups,
     keep_groups,
     n_rows,
     several,
 )
+from playmart.operators.ranking import first_pairs, first_row_per, number_in_order
 from playmart.operators.workspace import cut
 from playmart.plans import dims, facts
 from playmart.schemas import STAGING_EVENTS
@@ -91,6 +90,52 @@ def test_first_pairs_equal_brute_force(spark, seed, ordered):
     assert found == pairs[:n]
 
 
+@pytest.mark.parametrize("n", [1, 7, 40, 2000])
+@pytest.mark.parametrize("ordered", [True, False])
+def test_first_pairs_of_any_number(spark, n, ordered):
+    rows = [(f"g{k % 3}", f"m{k % 11:02}") for k in range(33)] + [("h", f"m{k}") for k in range(3)]
+    known = set(rows)
+    pairs = sorted((g, a, b) for g, a in known for h, b in known if g == h and (a > b if ordered else a != b))
+    found = first_pairs(spark.createDataFrame(rows, "g string, m string"), "g", "m", n, ordered)
+    assert [tuple(r) for r in found.collect()] == pairs[:n]
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+def test_first_pairs_of_a_large_group(spark, ordered):
+    """2,000 pairs of one group of 100,000 members, without ever making more."""
+    rows = spark.range(100_000).select(F.lit("g").alias("g"), "id")
+    found = first_pairs(rows, "g", "id", 2000, ordered)
+    got = [tuple(r)[1:] for r in found.collect()]
+    if ordered:
+        assert got == [(a, b) for a in range(1, 70) for b in range(a)][:2000]
+    else:
+        assert got == [(0, b) for b in range(1, 2001)]
+
+
+def test_many_rows_of_a_hot_group(spark, settings):
+    """The first 5,000 rows of each group, a third of all rows in one; no task holds a group."""
+    settings(spark__sql__shuffle__partitions="16", spark__sql__adaptive__coalescePartitions__enabled="false")
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+    rows = spark.range(300_000).select(key.alias("k"), F.pmod(F.xxhash64("id"), F.lit(1000)).alias("v"), "id")
+    top = first_row_per(rows, ["k"], [F.desc("v"), F.asc("id")], 5000, rank_as="place")
+    assert "row_number" not in plan_of(top)
+    expected = {}
+    for k, v, i in rows.collect():
+        expected.setdefault(k, []).append((-v, i))
+    expected = {k: [i for _, i in sorted(own)[:5000]] for k, own in expected.items()}
+    got = {}
+    for r in top.orderBy("k", "place").collect():
+        got.setdefault(r["k"], []).append(r["id"])
+    assert got == expected
+
+
+def test_numbers_follow_the_order(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 90).alias("v"), "id")
+    got = number_in_order(rows, [F.col("v").desc_nulls_last(), F.asc("id")], "place").collect()
+    expected = sorted(got, key=lambda r: (r["v"] is None, -(r["v"] or 0), r["id"]))
+    assert [r["place"] for r in expected] == list(range(1, 5001))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_group_operators_equal_brute_force(spark, seed):
     rows = random_members(random.Random(50 + seed))
