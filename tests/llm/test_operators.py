@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -226,6 +228,80 @@ def test_page_text():
     assert html_text.page_text("<div>" * 5000 + "deep") == "deep"
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<![foo]>x<![CDATA[y]]><!x><?php z?>z<!-->w<!-- a --!>v", "xzwv"),
+        ("a & b &amp; c &lt; < d <3 </> </ x> &nosuch; &#65;", "a & b & c < < d <3 &nosuch; A"),
+        ("a<a href='x>y", "a"),
+        ("<table>in<tr><td>a<td>b</tr>text in table<tr><td>c</table>", "in\ntext in table\na  b\nc"),
+        ("<table><tr><td colspan=2>wide cell<td>z<tr><td rowspan=2>r<td>1<td>2<tr><td>3<td>4</table>", "wide cell  z\nr  1       2\n   3       4"),
+        ("<pre>\na\n\n  b\n</pre>after", "a\n\n  b\n\nafter"),
+        ("<div style='visibility:hidden'>no<span style='visibility: visible'>yes</span></div>", "yes"),
+        ("<div style='display:none'>no<span style='visibility: visible'>no</span></div>yes", "yes"),
+        ("<ol start=3><li>a<li value=7>b<li>c</ol>", "3. a\n7. b\n8. c"),
+        ("<table><tr><td>日本<td>x<tr><td>abcde<td>y</table>", "日本   x\nabcde  y"),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>", "- a\n  - b\n- c"),
+        ("<table><tr><td><table><tr><td>in<td>ner</table><td>out</table>", "in  ner  out"),
+        ("<textarea>a <b>\n\nc</textarea><title>no</title><style>no</style>", "a <b>\n\nc"),
+        ("<p>a</div>b</span></p>c</p>d", "ab\n\nc\n\nd"),
+    ],
+)
+def test_page_layout(page, expected):
+    assert html_text.page_text(page) == expected
+
+
+class Told(HTMLParser):
+    """The words of a page that are not inside an element that is never displayed; no layout."""
+
+    def __init__(self):
+        super().__init__()
+        self.hidden, self.words = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("title", "script", "style"):
+            self.hidden.append(tag)
+
+    def handle_endtag(self, tag):
+        if self.hidden and self.hidden[-1] == tag:
+            self.hidden.pop()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words += data.split()
+
+
+def test_pages_keep_all_their_words(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in html_text.extract(rows).collect()}
+    for r in rows.collect():
+        told = Told()
+        told.feed(r["html"])
+        told.close()
+        assert "".join(found[r["page_id"]].replace("\n- ", "\n").split()).removeprefix("-") == "".join(told.words)
+
+
+def test_no_page_raises_or_takes_long():
+    rng = np.random.default_rng(8)
+    bits = ["<", ">", "</", "<!", "<!--", "-->", "<p>", "<table>", "<td>", "<tr", "</table>", "<li>", "<pre>", "a", " ", "\n", "&", "&#", "=", "'", '"',
+            "<script>", "</script>", "<b hidden>", "</b>", "<![x", "é", "<td colspan=9 rowspan=3>", "<ol start=x>", "<br/>", "</p>", "<div>"]
+    for _ in range(1500):
+        html_text.page_text("".join(bits[k] for k in rng.integers(0, len(bits), rng.integers(1, 60))))
+    for part, n in (("<div>", 20_000), ("<a b='", 20_000), ("<!--", 20_000), ("</p>", 20_000), ("<table>", 5_000), ("<ul><li>", 5_000),
+                    ("<tr><td colspan=1000 rowspan=60000>x", 3_000), ("&", 50_000), ("<p><span>", 20_000), ("<table><tr><td>", 5_000)):
+        begin = time.perf_counter()
+        html_text.page_text("<p>" + part * n + "x")
+        assert time.perf_counter() - begin < 5
+
+
+def test_pages_awkward(spark):
+    rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<p>a", "x"), (2, "u", "<p>a", "x"), (3, "u", "a " * 200_000, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    found = sorted((tuple(r) for r in html_text.extract(pages).collect()), key=repr)
+    assert found == sorted([(1, "u", None), (2, None, ""), (None, "u", "a"), (2, "u", "a"), (3, "u", ("a " * 200_000).strip())], key=repr)
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_line_dedup(spark):
     base = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(150)]
     near = base[:70] + ["changed"] + base[71:]
