@@ -3,32 +3,39 @@
 Numbers, units after numbers, and capitalised words inside a sentence become typed
 placeholders; everything else is lower-cased and loses its marks. Windows of ``WIDTH``
 template tokens of documents are hash-joined with those of the benchmark, so a question that
-comes back with other numbers or names still matches. Matches of one document and item at one
-alignment are put together; they count if they cover ``MATCHED`` tokens (or the whole item,
-if that is shorter) and if their slots are consistent: each value of the item stands for one
-value in the document and the other way round.
+comes back with other numbers or names still matches. A window with fewer than ``PLAIN`` plain
+tokens says little by its template and matches on its values as well, so that number-rich items
+are found where they are copied.
+
+Matches of one document and item that follow one another at one alignment are a run; it counts if
+it covers ``MATCHED`` tokens in a row (or the whole item, if that is shorter) and if its slots are
+consistent: each value of the item stands for one value in the document and the other way
+round. Where in the document or the item a run stands makes no difference.
 
 A null text has no windows. Items or documents with no tokens match nothing; an item shorter
 than ``MATCHED`` is one window of its own length. Rows without doc_id are not reported; rows
 that repeat a doc_id count as one document. Empty tables give an empty result. Extra columns
-are kept by ``remove`` and not read otherwise.
+are kept by ``remove`` and not read otherwise. The markers of placeholders are characters for
+private use; in a text they count as blanks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playmart.operators.workspace import cut
 
+from .clusters import if_small
+
 WIDTH = 8
 MATCHED = 13
-#: A window of placeholders alone says nothing; so many plain tokens it must have.
+#: So many plain tokens, or all of a shorter window, let its template alone speak for it.
 PLAIN = 4
-#: Benchmark windows up to this number are broadcast (about 100 MB); more are joined by a shuffle.
-BROADCAST_WINDOWS = 1_000_000
+#: Measured bytes of benchmark windows up to which they are broadcast; beyond, they are joined by a shuffle.
+BROADCAST_BYTES = 64 << 20
 
-NUMBER, NAME, UNIT = "", "", ""
+NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 #: Fixed word list: units that may follow a number.
 UNITS = (
     "%|percent|kg|g|mg|lb|lbs|pounds?|km|m|cm|mm|miles?|feet|ft|inch|inches|hours?|h|minutes?|min|seconds?|s|days?|weeks?"
@@ -42,6 +49,7 @@ TOKEN = rf"[{NUMBER}{NAME}{UNIT}][^ ]+|\p{{L}}+"
 
 def tokenized(rows: DataFrame) -> DataFrame:
     """Replace ``text`` by ``raw``, its template tokens; a placeholder carries its value behind the marker."""
+    rows = rows.withColumn("text", F.regexp_replace("text", f"[{NUMBER}{NAME}{UNIT}]", " "))
     rows = rows.withColumn("text", F.regexp_replace("text", NAMES, f" {NAME}$1"))
     rows = rows.withColumn("text", F.lower(F.regexp_replace("text", NUMBERS, f" {NUMBER}$1 ")))
     unit = F.regexp_replace("text", rf"({NUMBER}[^ ]+ ) ?({UNITS})(?!\p{{L}})", f"$1{UNIT}$2 ")
@@ -60,17 +68,23 @@ def _windows_of(n: int, stride: int) -> Column:
     Elements are read by place, because a slice would copy the whole array each time.
     """
 
-    def window(i):
-        values = F.filter(F.array(*[F.get("raw", i + k) for k in range(n)]), _slot)
+    def values(i):
+        tokens = F.filter(F.array(*[F.get("raw", i + k) for k in range(n)]), _slot)
+        return F.struct(i.alias("pos"), F.when(F.col("any"), tokens).otherwise(F.array().cast("array<string>")).alias("slots"))
+
+    def window(at):
+        template = F.xxhash64(*[F.get("codes", at["pos"] + k) for k in range(n)])
+        told = F.xxhash64(F.lit("values"), *[F.get("raw", at["pos"] + k) for k in range(n)])
+        speaks = n - F.size(at["slots"]) >= min(n, PLAIN)
         return F.struct(
-            i.alias("pos"),
-            F.xxhash64(*[F.get("codes", i + k) for k in range(n)]).alias("window"),
-            F.when(F.col("any"), values).otherwise(F.array().cast("array<string>")).alias("slots"),
+            at["pos"].alias("pos"),
+            F.when(speaks, template).otherwise(told).alias("window"),
+            at["slots"].alias("slots"),
             F.lit(n).alias("width"),
         )
 
     places = F.when(F.size("codes") >= n, F.sequence(F.lit(0), F.size("codes") - n, F.lit(stride)))
-    return F.transform(F.coalesce(places, F.array().cast("array<int>")), window)
+    return F.transform(F.transform(F.coalesce(places, F.array().cast("array<int>")), values), window)
 
 
 def windows(rows: DataFrame, keys: list[str], widths: list[tuple[int, int]]) -> DataFrame:
@@ -85,11 +99,6 @@ def windows(rows: DataFrame, keys: list[str], widths: list[tuple[int, int]]) ->
     return rows.select(*keys, F.size("codes").alias("n_tokens"), F.inline(found))
 
 
-def _if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side whose rows, counted here, are few; else Spark joins by a shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, n_matched tokens, n_slots.
 
@@ -108,31 +117,31 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sparse = [(WIDTH, MATCHED - WIDTH + 1) if n == MATCHED else (n, 1) for n in lengths]
     theirs = windows(items, ["item_id"], full)
     own_width = F.when(F.col("n_tokens") >= MATCHED, F.lit(WIDTH)).otherwise(F.col("n_tokens"))
-    plain = F.col("width") - F.size("slots") >= F.least("width", F.lit(PLAIN))
-    theirs = cut(
-        theirs.where((F.col("width") == own_width) & plain).select(
-            "window",
-            "width",
-            "item_id",
-            F.col("pos").alias("item_pos"),
-            F.col("slots").alias("item_slots"),
-            F.least("n_tokens", F.lit(MATCHED)).alias("needed"),
-        ),
-        "benchmark",
+    theirs = theirs.where(F.col("width") == own_width).select(
+        "window",
+        "width",
+        "item_id",
+        F.col("pos").alias("item_pos"),
+        F.col("slots").alias("item_slots"),
+        F.least("n_tokens", F.lit(MATCHED)).alias("needed"),
     )
-    theirs = _if_small(theirs.distinct(), BROADCAST_WINDOWS)
+    theirs = if_small(cut(theirs.distinct(), "benchmark"), BROADCAST_BYTES)
     ours = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null")
     hit = windows(ours, ["doc_id"], sparse).join(theirs, ["window", "width"], "left_semi")
-    hit = _if_small(cut(hit.select("doc_id").distinct(), "hits"), BROADCAST_WINDOWS)
+    hit = if_small(cut(hit.select("doc_id").distinct(), "hits"))
     met = windows(ours.join(hit, "doc_id", "left_semi"), ["doc_id"], full).join(theirs, ["window", "width"])
     shift = (F.col("pos") - F.col("item_pos")).alias("shift")
     pairs = F.arrays_zip("item_slots", "slots").alias("pairs")
     met = met.select("doc_id", "item_id", shift, "item_pos", "needed", "width", pairs).distinct()
-    runs = met.groupBy("doc_id", "item_id", "shift").agg(
+    # places that follow one another are as far from their rank as from each other; an item's windows at most,
+    # of each text under the doc_id
+    aligned = Window.partitionBy("doc_id", "item_id", "shift").orderBy("item_pos")
+    met = met.withColumn("run", F.col("item_pos") - F.dense_rank().over(aligned))
+    runs = met.groupBy("doc_id", "item_id", "shift", "run").agg(
         F.count_distinct("item_pos").alias("n"),
         F.max("width").alias("width"),
         F.max("needed").alias("needed"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),  # an item's windows at most
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     matched = F.col("n") + F.col("width") - 1
     one_to_one = F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))
@@ -145,5 +154,6 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a contaminated one, all columns kept."""
-    bad = cut(find(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.join(_if_small(bad, BROADCAST_WINDOWS), docs["doc_id"] == F.col("__bad"), "left_anti")
+    bad = cut(find(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct(), "contaminated")
+    bad = if_small(bad)
+    return docs.join(bad, docs["doc_id"] == bad["bad"], "left_anti")

@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from playmart.llm import (
@@ -222,6 +223,87 @@ def test_decontamination(spark):
     assert sorted(r["doc_id"] for r in decontam.remove(docs, bench).collect()) == [3, 4]
 
 
+def told_leaks(docs, items):
+    """(doc_id, item_id, n_matched, n_slots) by going through all windows of all documents."""
+
+    def tokens(text):
+        text = regex.sub("[\ue000-\ue002]", " ", text or "")
+        text = regex.sub(decontam.NAMES, f" {decontam.NAME}\\1", text)
+        text = regex.sub(decontam.NUMBERS, f" {decontam.NUMBER}\\1 ", text).lower()
+        text = regex.sub(rf"({decontam.NUMBER}[^ ]+ ) ?({decontam.UNITS})(?!\p{{L}})", f"\\1{decontam.UNIT}\\2 ", text)
+        return regex.findall(decontam.TOKEN, text)
+
+    def windows(raw, n):
+        for at in range(len(raw) - n + 1):
+            own = raw[at : at + n]
+            slots = [t for t in own if t[0] in "\ue000\ue001\ue002"]
+            speaks = n - len(slots) >= min(n, decontam.PLAIN)
+            yield at, tuple(t[0] if t in slots and speaks else t for t in own) + (speaks,), slots
+
+    held, widths = {}, set()
+    for item_id, text in items:
+        raw = tokens(text)
+        needed = min(len(raw), decontam.MATCHED)
+        n = decontam.WIDTH if needed == decontam.MATCHED else needed
+        if n:
+            widths.add(n)
+            for at, window, slots in windows(raw, n):
+                held.setdefault((n, window), []).append((item_id, at, slots, needed))
+    best = {}
+    for doc_id, text in docs:
+        raw, met = tokens(text), {}
+        for n in widths:
+            for at, window, slots in windows(raw, n):
+                for item_id, place, theirs, needed in held.get((n, window), ()):
+                    met.setdefault((item_id, at - place, n, needed), {})[place] = list(zip(theirs, slots))
+        for (item_id, _, n, needed), places in met.items():
+            for first in sorted(places):
+                if first - 1 in places:
+                    continue
+                last = first
+                while last + 1 in places:
+                    last += 1
+                pairs = {p for k in range(first, last + 1) for p in places[k]}
+                one = len({p[0] for p in pairs}) == len({p[1] for p in pairs}) == len(pairs)
+                size = last - first + n
+                if size >= needed and one:
+                    old = best.get((doc_id, item_id), (0, 0))
+                    best[doc_id, item_id] = (max(old[0], size), max(old[1], len(pairs)))
+    return sorted((*k, *v) for k, v in best.items())
+
+
+def leaks(df):
+    return sorted(tuple(r[c] for c in ("doc_id", "item_id", "n_matched", "n_slots")) for r in df.collect())
+
+
+def test_decontamination_matches_all_windows(spark, sample):
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", "text").collect()]
+    docs = [tuple(r) for r in sample.select("doc_id", "text").collect()]
+    numbers = "Compute 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 plus 2 3 4 5 6 7 8 9 10 11"
+    items += [(9001, numbers), (9002, "Take 5 kg of \ue000 sugar and 10 g of salt for Ann and bake it for 30 minutes in the oven")]
+    for shift in range(9):
+        lead = "word " * shift
+        docs.append((90_000 + shift, lead + numbers))
+        docs.append((91_000 + shift, lead + items[0][1].replace("the", "a thing", 1)))
+        docs.append((92_000 + shift, lead + "take 7 kg of sugar and 2 g of salt for Bob and bake it for 40 minutes in the oven"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = leaks(decontam.find(docs_of(spark, docs), bench))
+    assert found == told_leaks(docs, items)
+    assert {(90_000 + k, 9001) for k in range(9)} <= {f[:2] for f in found}
+
+
+def test_runs_do_not_depend_on_their_place(spark):
+    """11 + 11 equal words around another are no run of 13, wherever they stand; 13 words are."""
+    words = [f"w{chr(97 + k)}{c}" for k in range(26) for c in "xyz"]
+    bench = spark.createDataFrame([(1, " ".join(words[:40]))], "item_id long, text string")
+    split = words[5:16] + ["other"] + words[17:28]
+    docs = [(k, " ".join(["lead"] * k + split)) for k in range(13)]
+    docs += [(100 + k, " ".join(["lead"] * k + words[9:22] + ["tail"])) for k in range(13)]
+    docs += [(200 + k, " ".join(["lead"] * k + words[9:21] + ["tail"])) for k in range(13)]
+    found = leaks(decontam.find(docs_of(spark, docs), bench))
+    assert found == [(100 + k, 1, 13, 0) for k in range(13)]
+
+
 def test_page_text():
     page = "<p>a<p>b<ul><li>x<li>y</ul><table><tr><td>aa<td>b<tr><td>c<td>dd</table><b hidden>no</b><script>1<2</script>t<br>u"
     assert html_text.page_text(page) == "a\n\nb\n\n- x\n- y\n\naa  b\nc   dd\n\nt\nu"
