@@ -29,9 +29,29 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}")
+#: Characters of an account number by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+
+
+def _iban_of(length: int) -> re.Pattern:
+    """A number of so many characters, in groups of four or without blanks."""
+    groups, rest = divmod(length - 4, 4)
+    last = rf"(?: ?[A-Z0-9]{{{rest}}})" if rest else ""
+    return re.compile(rf"[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{last}(?![A-Za-z0-9])")
+
+
+IBANS = {country: _iban_of(n) for country, n in IBAN_LENGTHS.items()}
 NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-CARD_DIGITS, PHONE_DIGITS, IBAN_LENGTH = (14, 19), (10, 15), (15, 34)
+CARD_DIGITS, PHONE_DIGITS = (14, 19), (10, 15)
 #: Fixed word lists, looked for near a finding.
 CONTEXT = {
     "email": ("mail", "contact", "write to"),
@@ -45,6 +65,9 @@ CONTEXT = {
 WORTH = {"email": 0.8, "ip": 0.5, "card": 0.3, "phone": 0.5, "iban": 0.3, "id": 0.2}
 CHECKED, NEAR, THRESHOLD, REACH = 0.5, 0.2, 0.4, 48
 
+#: Context counts as whole words, plural included.
+CONTEXT_WORDS = {k: re.compile(rf"(?<![^\W_])(?:{'|'.join(words)})s?(?![^\W_])", re.I) for k, words in CONTEXT.items()}
+
 SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string,"
     " findings array<struct<kind:string,start:int,end:int,score:double>>"
@@ -95,20 +118,27 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for m in PHONE.finditer(text):
             if PHONE_DIGITS[0] <= len(_digits(m[0])) <= PHONE_DIGITS[1]:
                 yield "phone", *m.span(), False
-    for m in IBAN.finditer(text):
-        number = m[0].replace(" ", "")
-        if IBAN_LENGTH[0] <= len(number) <= IBAN_LENGTH[1] and mod97(number):
-            yield "iban", *m.span(), True
+    for m in IBAN_START.finditer(text):
+        found = IBANS[m[1]].match(text, m.start()) if m[1] in IBANS else None
+        if found and mod97(found[0].replace(" ", "")):
+            yield "iban", *found.span(), True
     for m in NATIONAL_ID.finditer(text):
         yield "id", *m.span(), False
 
 
+def _near(kind: str, text: str, start: int, end: int) -> bool:
+    """Whether a context word stands within ``REACH`` characters before or behind."""
+    words, stop = CONTEXT_WORDS[kind], min(len(text), end + REACH)
+    while stop < min(len(text), end + 2 * REACH) and text[stop].isalnum():
+        stop += 1  # not inside a word
+    return bool(words.search(text, max(0, start - REACH), start) or words.search(text, end, stop))
+
+
 def findings(text: str) -> list[tuple[str, int, int, float]]:
     """All findings by start, then kind as listed."""
     out = []
     for kind, start, end, checked in _proposed(text):
-        near = text[max(0, start - REACH) : start].lower() + "\n" + text[end : end + REACH].lower()
-        score = WORTH[kind] + CHECKED * checked + NEAR * any(w in near for w in CONTEXT[kind])
+        score = WORTH[kind] + CHECKED * checked + NEAR * _near(kind, text, start, end)
         if kind in BASE or score >= THRESHOLD:
             out.append((kind, start, end, round(min(1.0, score), 2)))
     out.sort(key=lambda f: (f[1], KINDS.index(f[0])))

@@ -86,9 +86,15 @@ def unpack(payload) -> tuple[int | None, np.ndarray]:
     return (None if flags & NO_ID else doc_id), ids.astype("<u4")
 
 
+def store_of(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI and the path in it; Hadoop's names for S3 are names for S3."""
+    scheme, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri)
+
+
 def read_record(path: str, offset: int) -> tuple[int | None, np.ndarray]:
     """One record by its index entry, for shuffled reads."""
-    store, inner = fs.FileSystem.from_uri(path)
+    store, inner = store_of(path)
     with store.open_input_file(inner) as f:
         f.seek(offset)
         head = f.read(HEAD.size)
@@ -101,7 +107,7 @@ class _Shard:
 
     def __init__(self, folder: str, part: int, seq: int, attempt: int):
         self.name = f"{folder}/part-{part:06d}-{seq:04d}-{attempt}.rec"
-        self.store, self.path = fs.FileSystem.from_uri(self.name)
+        self.store, self.path = store_of(self.name)
         self.out, self.size, self.entries = self.store.open_output_stream(self.path), 0, []
 
     def add(self, doc_id: int | None, ids: np.ndarray, wide: bool) -> int:
@@ -156,7 +162,7 @@ def write_records(
     executor can write to.
     """
     folder = folder if "://" in folder else "file://" + os.path.abspath(folder.removeprefix("file:"))
-    store, inner = fs.FileSystem.from_uri(folder)
+    store, inner = store_of(folder)
     store.create_dir(f"{inner}/shards", recursive=True)
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     dealt = keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
@@ -170,7 +176,7 @@ def _read(batches: Iterator[pa.RecordBatch]):
     schema = _arrow(RECORDS)
     for batch in batches:
         for part, seq, name, first in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            store, inner = fs.FileSystem.from_uri(name)
+            store, inner = store_of(name)
             with store.open_input_file(inner) as f:
                 data = memoryview(f.read())
             at, row, before, rows = 0, first, 0, []
@@ -189,7 +195,7 @@ def read_records(index: DataFrame) -> DataFrame:
     Gives per record its place (part, seq, row), doc_id, ``before`` (ids of earlier records
     in the shard), n_tokens and the crc32 of its ids as little-endian u32.
     """
-    shards = index.groupBy("part", "seq", "shard").agg(F.min("row").alias("first")).persist()
+    shards = index.groupBy("part", "seq", "shard").agg(F.min("row").alias("first"))
     tasks = max(1, shards.count())
     return arrow_map(shards.repartition(tasks, "shard"), RECORDS, _read)
 

@@ -81,7 +81,8 @@ _MARKS = ".,!?#*$%&:;"
 
 def _word_and_marks(unit: str) -> tuple[str, str]:
     word = unit.rstrip(_MARKS)
-    return (word, unit[len(word) :]) if word != unit and word.isalpha() else (unit, "")
+    # a letter may become a letter and an accent in lower case, which joins the marks behind it
+    return (word, unit[len(word) :]) if word != unit and word.isalpha() and word.lower().isalpha() else (unit, "")
 
 
 def _byte_alphabet() -> dict[int, int]:

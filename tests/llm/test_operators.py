@@ -223,6 +223,62 @@ def test_decontamination(spark):
     assert sorted(r["doc_id"] for r in decontam.remove(docs, bench).collect()) == [3, 4]
 
 
+def base_spans(text):
+    """The four base kinds by the expressions of the contract."""
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = [int(c) for c in m[0] if c.isdigit()]
+        doubled = [d if k % 2 == 0 else (2 * d) // 10 + (2 * d) % 10 for k, d in enumerate(reversed(digits))]
+        if 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return [f"{pii.BASE[k]}:{a}:{b}" for a, k, b in sorted(found)]
+
+
+def test_base_kinds_match_expressions(spark, sample):
+    rng = np.random.default_rng(9)
+    bits = ["a", "B", "7", "12", "255", ".", "@", "-", "+", " ", "(", ")", "4539 1488 0343 6467", "a.b@c.de", "1.2.3.4", "+1 (988) 555-2485", "é", "\n"]
+    made = ["".join(bits[k] for k in rng.integers(0, len(bits), rng.integers(1, 40))) for _ in range(3000)]
+    rows = [(r["doc_id"], r["text"]) for r in sample.collect()] + [(10_000 + k, t) for k, t in enumerate(made)]
+    told = {i: base_spans(t or "") for i, t in rows}
+    for r in pii.scan(docs_of(spark, rows)).collect():
+        own = told[r["doc_id"]]
+        assert [r[f"n_{k}"] for k in pii.BASE] == [sum(x.startswith(k + ":") for x in own) for k in pii.BASE]
+        assert r["base_sha256"] == hashlib.sha256(",".join(own).encode()).hexdigest()
+        assert [x for x in r["spans"].split(",") if x.split(":")[0] in pii.BASE] == own
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [
+        ("ES91 2100 0418 4502 0005 1332 PLEASE", "ES91 2100 0418 4502 0005 1332"),
+        ("BE68539007547034 WITH", "BE68539007547034"),
+        ("pay NO93 8601 1117 947 now", "NO93 8601 1117 947"),
+        ("DE89370400440532013000", "DE89370400440532013000"),
+        ("DE89370400440532013001", None),
+        ("XDE89370400440532013000", None),
+        ("DE893704004405320130009", None),
+    ],
+)
+def test_account_numbers(text, number):
+    found = [text[a:b] for kind, a, b, _ in pii.findings(text) if kind == "iban"]
+    assert found == ([number] if number else [])
+
+
+def test_context_is_whole_words():
+    def score(text):
+        return [f[3] for f in pii.findings(text)]
+
+    assert score("Tel: +1 988 555 2485") > score("hotel: +1 988 555 2485") == score("x: +1 988 555 2485")
+    assert score("1.2.3.4 ships") == score("1.2.3.4 x") < score("1.2.3.4 IPs")
+    assert score("ship" + " " * 46 + "1.2.3.4") == score("x 1.2.3.4")
+
+
 def told_leaks(docs, items):
     """(doc_id, item_id, n_matched, n_slots) by going through all windows of all documents."""
 
@@ -546,6 +602,19 @@ def test_pipeline(spark):
     assert 0.5 * total < rows.count() < total and rows.where("not round_trip").count() == 0
 
 
+def test_token_ids_of_random_texts():
+    """Letters that change their length in lower case, marks, digits and foreign scripts at word ends."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tool, reference = wordcache.TextTokenizer(path), Tokenizer.from_file(path)
+    rng = np.random.default_rng(10)
+    bits = list("aZİıßÅéǅΣς\u0307\u0301日ก7.,!?#*$%&:;'\"-_<|>@ \t\n\u00a0\u2003") + ["word", "İ.", "don't", "<|x|>", "ﬁ", "🙂"]
+    for _ in range(60):
+        texts = ["".join(bits[k] for k in rng.integers(0, len(bits), rng.integers(0, 30))) for _ in range(100)]
+        ids, bounds = tool.encode(pa.array(texts, pa.string()))
+        for k, text in enumerate(texts):
+            assert ids[bounds[k] : bounds[k + 1]].tolist() == reference.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_word_ids_of_array_slices():
     """Slices at any place of a batch give what the whole-text tokenizer gives."""
     path = public_tokenizers.path("word_bpe_49k.json")
