@@ -12,8 +12,8 @@ pairs inside a component are never spelled out. Buckets with the same members co
 centre, and a large bucket, are dealt to many tasks: a task holds one item, or one block of
 marks, and reads one slice.
 
-A comparison is a class, named by module and name with its arguments: ``prepare(text)`` gives
-(node, item); ``linked(item, item)`` decides; ``near(sizes, marks, sizes, marks)`` is False for
+A comparison is a class, named by module and name with its arguments: ``prepare(texts)`` gives
+a (node, item) each; ``linked(item, item)`` decides; ``near(sizes, marks, sizes, marks)`` is False for
 pairs, row by row, that cannot be linked; ``block(sizes, marks)`` has ``near(size, mark)``, the same for one
 item against a block.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from playmart.operators.grouping import attach
 from playmart.operators.workspace import cut
 
-from .common import arrow_map, components, slices
+from .common import arrow_map, components, slices, texts
 
 #: Members one task compares with a centre.
 MEMBERS_PER_TASK = 128
@@ -72,8 +72,8 @@ def _compare(batches: Iterator[pa.RecordBatch], comparison: Comparison):
     tool, centre, held = _tool(comparison), None, None
     for batch in slices(batches):
         a, b = [], []
-        for c, node, member, text in zip(*(batch.column(n).to_pylist() for n in ("a", "node", "member", "text"))):
-            name, item = tool.prepare(text or "")
+        rows = zip(*(batch.column(n).to_pylist() for n in ("a", "node", "member")), tool.prepare(texts(batch)))
+        for c, node, member, (name, item) in rows:
             if name != node:
                 continue  # another text under a repeated id
             if not member:

@@ -183,9 +183,8 @@ class ShingleSets:
     def __init__(self, width: int, percent: int):
         self.width, self.percent = width, percent
 
-    def prepare(self, text: str) -> tuple[int, np.ndarray]:
-        items = shingles(text, self.width)
-        return node_of(items), items
+    def prepare(self, rows: list[str]) -> list[tuple[int, np.ndarray]]:
+        return [(node_of(items), items) for items in (shingles(t, self.width) for t in rows)]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         small, large = (a, b) if len(a) < len(b) else (b, a)
