@@ -45,7 +45,8 @@ def arrow_map(df: DataFrame, schema: str, target: Callable, *args) -> DataFrame:
     def run(batches):
         if root not in sys.path:
             sys.path.append(root)
-        return getattr(importlib.import_module(module), name)(batches, *args)
+        yield from getattr(importlib.import_module(module), name)(batches, *args)
+        pa.default_memory_pool().release_unused()  # the worker may idle beside others
 
     return df.mapInArrow(run, schema)
 

@@ -37,6 +37,8 @@ from .wordcache import WordIds
 FALLBACK_PENALTY = 10.0
 #: Zipf-Mandelbrot offset of the rank.
 ZIPF_OFFSET = 2.7
+#: Characters of distinct units kept while a task runs, and bytes of text cut into units at once.
+KEEP_CHARS, SLICE_BYTES = 3_000_000, 1 << 20
 SCHEMA = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean, ids array<int>"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 
@@ -60,7 +62,7 @@ class Pieces:
             self.automaton.add_word(plain, (own, len(plain), score))
         self.automaton.make_automaton()
         self.fallback = min(score for *_, score in normal) - FALLBACK_PENALTY
-        self.cache = WordIds(lambda units: [self.segment(u)[0] for u in units])
+        self.cache = WordIds(lambda units: [self.segment(u)[0] for u in units], keep=KEEP_CHARS)
 
     @classmethod
     def load(cls, path: str) -> "Pieces":
@@ -132,7 +134,7 @@ def pieces_of(path: str) -> Pieces:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str):
     tool = pieces_of(path)
-    for batch in slices(batches):
+    for batch in slices(batches, limit=SLICE_BYTES):
         own = texts(batch)
         ids, bounds = tool.encode_all(own)
         rows = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
@@ -147,6 +149,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str):
             ],
             names=["doc_id", "n_pieces", "ids_crc32", "round_trip", "ids"],
         )
+    tool.cache.reset()  # an idle worker holds no more than the automaton
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

@@ -23,11 +23,11 @@ KEEP_CHARS = 8_000_000
 class WordIds:
     """``encode_units`` maps distinct units to their id lists; ``parts`` may cut a unit in two."""
 
-    def __init__(self, encode_units: Callable, parts: Callable | None = None):
-        self.encode_units, self.parts = encode_units, parts
-        self._reset()
+    def __init__(self, encode_units: Callable, parts: Callable | None = None, keep: int = KEEP_CHARS):
+        self.encode_units, self.parts, self.keep = encode_units, parts, keep
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
         self.slots: dict[str, int] = {}
         self.chars = 0
         self.pool, self.n_ids = np.empty(1 << 20, np.uint32), 0
@@ -55,8 +55,8 @@ class WordIds:
 
     def encode(self, units: pa.Array, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids begin (one bound more)."""
-        if self.chars > KEEP_CHARS:
-            self._reset()
+        if self.chars > self.keep:
+            self.reset()
         coded = pc.dictionary_encode(units)
         distinct = coded.dictionary.to_pylist()
         halves = [self.parts(u) for u in distinct] if self.parts else [(u, "") for u in distinct]
