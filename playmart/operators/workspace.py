@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -59,3 +59,19 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Shared:
+    """Named intermediate results of one build, each computed and written once.
+
+    Steps that need the same result ask for it by name, so their common source is read once,
+    in whichever order they run.
+    """
+
+    def __init__(self) -> None:
+        self.held: dict[str, DataFrame] = {}
+
+    def get(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.held:
+            self.held[name] = cut(make(), name)
+        return self.held[name]

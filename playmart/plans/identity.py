@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from playmart.functions.casts import numeric_score, present_score, text_score, to_decimal
 from playmart.operators.grouping import attach, best_field, n_rows, pick_best
-from playmart.operators.workspace import cut
+from playmart.operators.workspace import Shared, cut
 from playmart.schemas import STAGING_ARTIST_NAMES
 
 PAIR = ["artist_id", "artist_name"]
@@ -62,22 +62,28 @@ def typed_artist_rows(songs: DataFrame) -> DataFrame:
     )
 
 
-def artist_rows(songs: DataFrame) -> DataFrame:
+def artist_variants(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
+    """Distinct artist texts of the songs; with ``shared``, the one pass over the songs of a build."""
+    distinct = songs.select(*ARTIST_TEXTS).distinct()
+    return shared.get("artist-variants", lambda: distinct) if shared else distinct
+
+
+def artist_rows(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     """Distinct artist rows: one song may repeat what another already said."""
-    return typed_artist_rows(songs).distinct()
+    return typed_artist_rows(artist_variants(songs, shared) if shared else songs).distinct()
 
 
 def artist_pairs(rows: DataFrame) -> DataFrame:
     return rows.select(*PAIR).distinct()
 
 
-def artist_id_name_flags(rows: DataFrame) -> DataFrame:
+def artist_id_name_flags(rows: DataFrame, shared: Shared | None = None) -> DataFrame:
     """Distinct (id, name) pairs with a flag for many names per id and many ids per name.
 
     The pairs are written once: three branches read them, and they are far fewer than
-    the rows they come from.
+    the rows they come from. With ``shared`` they are those of the build's pair table.
     """
-    pairs = cut(artist_pairs(rows), "artist-pairs")
+    pairs = pair_table(rows, shared).select(*PAIR) if shared else cut(artist_pairs(rows), "artist-pairs")
     many_ids = pairs.groupBy("artist_name").agg((n_rows() > 1).alias("many_ids"))
     flagged = attach(attach(pairs, _many_names(pairs), ["artist_id"]), many_ids, ["artist_name"])
     return flagged.select(
@@ -110,27 +116,30 @@ def best_attributes(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def pair_table(songs: DataFrame) -> DataFrame:
-    """Written once per job: the (id, name) pairs with their best attributes.
+def pair_table(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
+    """Written once per job, or once per build with ``shared``: the (id, name) pairs with their best attributes.
 
     This is the only pass over the song rows; every later step works on pairs. Equal
     artist texts collapse first, in a hash aggregate, so that casts, patterns and the
     sort-based pick see each variant once instead of once per song.
     """
-    variants = songs.select(*ARTIST_TEXTS).distinct()
-    return cut(best_attributes(typed_artist_rows(variants), PAIR), "artist-pairs")
+
+    def make() -> DataFrame:
+        return best_attributes(typed_artist_rows(artist_variants(songs, shared)), PAIR)
+
+    return shared.get("artist-pairs", make) if shared else cut(make(), "artist-pairs")
 
 
 # --- step form ---------------------------------------------------------------------
 
 
-def steps_1_to_4(songs: DataFrame) -> DataFrame:
+def steps_1_to_4(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     """Working rows of the first four steps, one per (id, name) pair.
 
     The step number is the pair's class: 1 neither flag, 2 only many names, 3 only many
     ids, 4 both. Only step 4 ever finds an earlier row of its name to inherit from.
     """
-    pairs = pair_table(songs)
+    pairs = pair_table(songs, shared)
     per_name = (
         _offers(pairs.select(*PAIR))
         .groupBy("artist_name")
@@ -186,9 +195,9 @@ def step_6(fifth: DataFrame) -> DataFrame:
     return _as_step(attach(rows, per_id, ["recalculated_artist_id"], nulls_match=True), 6)
 
 
-def working_rows(songs: DataFrame) -> DataFrame:
+def working_rows(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     """All six steps in one table, as each was appended."""
-    first_four = cut(steps_1_to_4(songs), "artist-steps")
+    first_four = cut(steps_1_to_4(songs, shared), "artist-steps")
     fifth = cut(step_5(first_four), "artist-step-5")
     return first_four.unionByName(fifth).unionByName(step_6(fifth))
 
@@ -206,24 +215,24 @@ def resolve_artist_ids(songs: DataFrame) -> DataFrame:
     )
 
 
-def resolved_names(songs: DataFrame) -> DataFrame:
+def resolved_names(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     """Per name: its resolved id and the best attributes among its own (id, name) pairs."""
     # An offered id comes without attributes; its score of 0 never displaces a pair's value.
-    offers = _offers(pair_table(songs)).where(F.col("artist_name").isNotNull())
+    offers = _offers(pair_table(songs, shared)).where(F.col("artist_name").isNotNull())
     picked = offers.groupBy("artist_name").agg(
         _resolved().alias("recalculated_artist_id"), *_pick_present()
     )
     return picked.select("artist_name", "recalculated_artist_id", *_picked_attributes())
 
 
-def dim_artist_names(songs: DataFrame) -> DataFrame:
+def dim_artist_names(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     """One row per name: resolved id, and the best attributes of all names of that id.
 
     The best of an id's pairs is the best of its names' bests, so attributes are folded
     pair -> name -> id. The per-name result is written once, because both the fold over
     ids and the final join read it.
     """
-    names = cut(resolved_names(songs), "artist-names")
+    names = cut(resolved_names(songs, shared), "artist-names")
     per_id = _best_present(names, "recalculated_artist_id")
     joined = attach(
         names.select("artist_name", "recalculated_artist_id"),

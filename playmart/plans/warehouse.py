@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from playmart import schemas as S
 from playmart.operators import layout, versions
 from playmart.operators.quality import enforce_contract
-from playmart.operators.workspace import cut, scratch
+from playmart.operators.workspace import Shared, cut, scratch
 from playmart.plans import dims, facts, identity
 from playmart.sources import framing, landing
 
@@ -85,16 +85,18 @@ def _land_one(spark: SparkSession, tagged: DataFrame, root: str, table: S.Table)
     return table.name, got["records"], got["refused"], staged, got["records"] == got["refused"] + staged
 
 
-def build_working_tables(spark: SparkSession, root: str) -> None:
+def build_working_tables(spark: SparkSession, root: str, shared: Shared | None = None) -> None:
     """The documented artist steps, kept for inspection; the marts do not need them."""
     songs = layout.read_table(spark, root, S.STAGING_SONGS)
-    layout.replace_table(identity.artist_rows(songs), root, S.STAGING_ARTIST_ROW)
-    rows = layout.read_table(spark, root, S.STAGING_ARTIST_ROW)
-    layout.replace_table(identity.artist_id_name_flags(rows), root, S.STAGING_ARTIST_ID_NAME)
-    layout.replace_table(identity.working_rows(songs), root, S.STAGING_ARTIST_NAMES)
+    shared = shared or Shared()
+    layout.replace_table(identity.artist_rows(songs, shared), root, S.STAGING_ARTIST_ROW)
+    layout.replace_table(identity.artist_id_name_flags(songs, shared), root, S.STAGING_ARTIST_ID_NAME)
+    layout.replace_table(identity.working_rows(songs, shared), root, S.STAGING_ARTIST_NAMES)
 
 
-def build_marts(spark: SparkSession, root: str, dense_keys: bool = False) -> None:
+def build_marts(
+    spark: SparkSession, root: str, dense_keys: bool = False, shared: Shared | None = None
+) -> None:
     """Dimensions and fact from the staging tables, each written once.
 
     Rows that lack a required column, are too long or repeat a key go to ``<table>_rejects``
@@ -103,7 +105,7 @@ def build_marts(spark: SparkSession, root: str, dense_keys: bool = False) -> Non
     """
     events = layout.read_table(spark, root, S.STAGING_EVENTS)
     songs = layout.read_table(spark, root, S.STAGING_SONGS)
-    _store(identity.dim_artist_names(songs), root, S.ARTIST_NAMES)
+    _store(identity.dim_artist_names(songs, shared), root, S.ARTIST_NAMES)
     _store(dims.dim_song_titles(songs), root, S.SONG_TITLES)
     _store(dims.dim_users(events), root, S.USERS)
     _store(dims.dim_time(events), root, S.TIME)
@@ -127,9 +129,10 @@ def build(
     """
     with versions.new_version(spark, root) as folder, scratch(spark):
         land(spark, sources, folder)
+        shared = Shared() if working else None  # the steps and the dimension read the songs once
         if working:
-            build_working_tables(spark, folder)
-        build_marts(spark, folder, dense_keys)
+            build_working_tables(spark, folder, shared)
+        build_marts(spark, folder, dense_keys, shared)
         layout.create_tables(spark, folder, list(S.ALL_TABLES.values()))
 
 

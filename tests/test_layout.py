@@ -3,13 +3,14 @@ from __future__ import annotations
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from playmart import schemas as S
 from playmart.__main__ import main
 from playmart.operators import layout, quality, versions, workspace
-from playmart.plans import warehouse
+from playmart.plans import identity, warehouse
 from tests.conftest import rows_of
 
 
@@ -252,3 +253,44 @@ def test_hot_and_missing_titles_fill_even_buckets(spark, tmp_path):
     finally:
         for name in names:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_filter_on_the_sort_key_skips_row_groups(spark, settings, tmp_path):
+    """Row groups whose footer admits a key, for one with a third of the rows and for rare ones."""
+    settings(spark__sql__shuffle__partitions="32", spark__sql__adaptive__enabled="false")
+    key = F.expr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE 'k' || lpad(pmod(xxhash64(id), 5000), 4, '0') END")
+    path = str(tmp_path / "plays")
+    layout.cluster_by_sortkey(spark.range(200_000).select(key.alias("k"), "id"), path, ("k",), ("id",))
+    spans = []
+    for file in sorted((tmp_path / "plays").glob("*.parquet")):
+        footer = pq.ParquetFile(file).metadata
+        for group in range(footer.num_row_groups):
+            kept = footer.row_group(group).column(footer.schema.names.index("k")).statistics
+            spans.append((kept.min, kept.max, footer.row_group(group).num_rows))
+
+    def share(value):
+        return sum(low <= value <= high for low, high, _ in spans) / len(spans)
+
+    assert len(spans) >= 24 and max(n for *_, n in spans) < 3 * 200_000 / len(spans)
+    assert 0.25 < share("hot") < 0.45
+    assert all(share(f"k{v:04}") <= 2 / len(spans) for v in (0, 17, 2500, 4999))
+    assert share("absent") <= 1 / len(spans)
+
+
+def test_steps_and_dimension_read_the_songs_once(spark, tmp_path):
+    log, songs = write_sources(tmp_path)
+    root, shared = str(tmp_path / "out"), workspace.Shared()
+    warehouse.land(spark, warehouse.Sources(log, songs), root)
+    warehouse.build_working_tables(spark, root, shared)
+    stored = layout.read_table(spark, root, S.STAGING_SONGS)
+    assert sorted(shared.held) == ["artist-pairs", "artist-variants"]
+    for frame in (
+        identity.artist_rows(stored, shared),
+        identity.artist_id_name_flags(stored, shared),
+        identity.steps_1_to_4(stored, shared),
+        identity.resolved_names(stored, shared),
+    ):
+        files = set(frame.inputFiles())
+        assert files and not any("staging_songs" in f for f in files)
+    assert sorted(shared.held) == ["artist-pairs", "artist-variants"]
+    assert rows_of(identity.dim_artist_names(stored, shared)) == rows_of(identity.dim_artist_names(stored))
