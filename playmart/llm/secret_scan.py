@@ -18,6 +18,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +61,8 @@ RULES = (
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
 )
 
+#: Matches whose positions are added up at once.
+CHUNK = 128
 #: Alternatives followed exactly before a part of an expression counts as unknown.
 MOST_EXACT = 64
 
@@ -205,8 +209,15 @@ def _spans(rule: Rule, number: int) -> Column:
         more = F.when(kept, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(end.alias("at"), more.alias("spans"))
 
+    def chunk(state, at):
+        """A run of pieces on its own, so that what is appended to stays short."""
+        empty = F.struct(state["at"].alias("at"), F.array().cast(_SPANS).alias("spans"))
+        done = F.aggregate(F.slice(pieces, at + 1, CHUNK), empty, step)
+        added = lambda old, new: F.struct(new["at"].alias("at"), F.concat(old["spans"], new["spans"]).alias("spans"))
+        return F.aggregate(F.array(done), state, added)
+
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPANS).alias("spans"))
-    return F.aggregate(pieces, start, step, lambda s: s["spans"])
+    return F.aggregate(F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(CHUNK)), start, chunk, lambda s: s["spans"])
 
 
 def _joined(spans: Column) -> Column:
@@ -222,7 +233,16 @@ def scan(docs: DataFrame) -> DataFrame:
     trigrams = sorted({t for q in queries if q != ANYTHING for c in q for t in c})
     wanted = [frozenset() if q == ANYTHING else q for q in queries]
     chosen = candidates(postings(docs, trigrams, wanted), trigrams, wanted)
-    rows = docs.withColumn("at", _key()).join(chosen, "at", "left")
+    # a text without any lead has no candidate bits and is answered where it is read; only others are shuffled
+    low = F.lower("text")
+    leading = F.coalesce(reduce(or_, [F.contains(low, F.lit(t)) for t in leads(wanted)], F.lit(False)), F.lit(False))
+    met = docs.where(leading).withColumn("at", _key()).join(chosen, "at", "left").drop("at")
+    rest = docs.where(~leading).withColumn("rules", F.lit(None).cast("bigint"))
+    return _answered(met.unionByName(rest), queries)
+
+
+def _answered(rows: DataFrame, queries: list[Clauses]) -> DataFrame:
+    """The result for rows of doc_id, text and the ``rules`` whose clauses hold."""
     found = []
     for number, (rule, query) in enumerate(zip(RULES, queries)):
         if query == ANYTHING:
