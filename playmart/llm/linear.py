@@ -33,6 +33,13 @@ class Rows:
         return Rows(self.index[own], self.value[own], np.concatenate(([0], np.cumsum(sizes))), self.width)
 
 
+    def only(self, columns: np.ndarray) -> "Rows":
+        """The same rows with the entries of some columns."""
+        own = columns[self.index] if len(self.index) else np.zeros(0, bool)
+        sizes = np.bincount(self.row[own], minlength=len(self))
+        return Rows(self.index[own], self.value[own], np.concatenate(([0], np.cumsum(sizes))), self.width)
+
+
 def fit(rows: Rows, dense: np.ndarray, y: np.ndarray, l2: float, steps: int = 150) -> np.ndarray:
     """Weights of the sparse columns, then of the dense ones, then the bias.
 

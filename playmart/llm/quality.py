@@ -1,9 +1,9 @@
 """Quality rules: counted base rules and a calibrated classifier over hashed n-grams.
 
-The classifier is a logistic regression on relative frequencies of hashed words and hashed
-byte trigrams, trained on labelled rows. At most ``SAMPLE`` labelled rows are used, those
-with the smallest hash of their doc_id; a fifth of them is held out to calibrate the
-probability. Everything else runs over all rows and whole texts, in Arrow batches.
+The classifier is a logistic regression on relative frequencies of hashed words, pairs of words
+and runs of three characters, trained on labelled rows. At most ``SAMPLE`` labelled rows are used,
+those with the smallest hash of their doc_id, in the order of a hash of their text; a fifth of
+them is held out to calibrate the probability. Everything else runs over all rows and whole texts, in Arrow batches.
 
 A document is kept unless the base rules fail or its probability of being good lies under
 ``KEEP_AT``. A null text has no words and fails the base rules. Rows are independent:
@@ -26,8 +26,9 @@ from .linear import Rows, fit, platt, sigmoid
 #: Labelled rows used for training, at most.
 SAMPLE = 4000
 KEEP_AT = 0.5
-#: Hashed features: so many bits for words, as many for byte trigrams.
+#: Hashed features: so many bits for words, for pairs of words and for runs of three characters.
 BITS = 17
+KINDS = 3
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 50, 3, 50
@@ -44,10 +45,17 @@ def _word_slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def _char_slots(data: bytes) -> np.ndarray:
-    b = np.frombuffer(data, np.uint8).astype(np.uint32)
-    code = b[:-2] << np.uint32(16) | b[1:-1] << np.uint32(8) | b[2:]
-    return (code * np.uint32(0x9E3779B1) >> np.uint32(32 - BITS)).astype(np.int64) + (1 << BITS)
+def _char_slots(text: str) -> np.ndarray:
+    """Runs of three characters, whatever bytes they take."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    code = c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]
+    return (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def slots_of(text: str, hashes: np.ndarray) -> list[np.ndarray]:
+    """The slots of a text's features, one array per kind."""
+    found = _word_slots(hashes), _word_slots(window_hashes(hashes, 2)), _char_slots(text)
+    return [slots + (k << BITS) for k, slots in enumerate(found)]
 
 
 def _mean_weight(weights: np.ndarray, slots: np.ndarray) -> float:
@@ -81,15 +89,15 @@ def _features(batches: Iterator[pa.RecordBatch]):
         for text in texts(batch):
             data = text.encode("utf-8", "surrogatepass")
             own_index, own_value = [], []
-            for slots in (_word_slots(hash_words(data.split())), _char_slots(data)):
+            for slots in slots_of(text, hash_words(data.split())):
                 slot, count = np.unique(slots, return_counts=True)
                 own_index.append(slot)
                 own_value.append(SCALE * count / max(1, len(slots)))
             index.append(np.concatenate(own_index))
             value.append(np.concatenate(own_value))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("y").cast(pa.int32()), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))],
-            names=["y", "slots", "freqs"],
+            [batch.column("y").cast(pa.int32()), batch.column("at"), pa.array(index, pa.list_(pa.int64())), pa.array(value, pa.list_(pa.float64()))],
+            names=["y", "at", "slots", "freqs"],
         )
 
 
@@ -102,10 +110,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: list[str], n: i
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """Weights of all slots, the bias and the calibration."""
-    rows = labelled_sample(docs, labels, ["quality"], sample).select("text", F.col("quality").alias("y"))
-    # one document may hold several labels or copies; the bound is on label rows
-    got = arrow_map(rows, "y int, slots array<long>, freqs array<double>", _features).toArrow()
-    width = 2 << BITS
+    rows = labelled_sample(docs, labels, ["quality"], sample).select("text", F.xxhash64("text").alias("at"), F.col("quality").alias("y"))
+    got = arrow_map(rows, "y int, at long, slots array<long>, freqs array<double>", _features)
+    # a doc_id that documents repeat brings several rows: the bound holds after the join as well
+    got = got.orderBy("at", "y").limit(sample).toArrow()
+    width = KINDS << BITS
     if not got.num_rows:
         return {"weights": np.zeros(width, np.float32), "bias": 8.0, "a": 1.0, "b": 0.0}
     y = got["y"].to_numpy().astype(float)
@@ -132,7 +141,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: dict, keep_at: float):
             hashes = hash_words(data.split())
             counts = base_counts(text, data, hashes)
             failed = counts[0] < MIN_WORDS or 100 * counts[4] > REPEAT_PERCENT * counts[0]
-            z = model["bias"] + _mean_weight(weights, _word_slots(hashes)) + _mean_weight(weights, _char_slots(data))
+            z = model["bias"] + sum(_mean_weight(weights, slots) for slots in slots_of(text, hashes))
             p = float(sigmoid(model["a"] * z + model["b"]))
             rows.append((*counts, failed, not failed and p >= keep_at, p))
         kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]

@@ -84,29 +84,38 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     rows = labelled_sample(docs, labels, ["quality", "toxic"], sample)
     rows = rows.select("text", *[e.alias(c) for c, e in chain.items()])
     schema = ", ".join(f"{c} int" for c in names) + ", words array<long>"
-    sets = arrow_map(rows, schema, _word_sets, names).dropDuplicates(["words"]).persist()
+    sets = arrow_map(rows, schema, _word_sets, names).dropDuplicates(["words"])
+    # a doc_id that documents repeat brings several rows: the bound holds after the join as well
+    sets = sets.orderBy(F.xxhash64("words"), *names).limit(sample)
+    sets = sets.withColumn("fold", F.pmod(F.xxhash64("words"), F.lit(FOLDS)).cast("int")).persist()
     known = _picked(sets, names, features)
-    place = F.array_intersect("words", F.lit(known.astype(np.int64).tolist()).cast("array<long>"))
-    got = sets.select(*names, place.alias("words")).orderBy(F.xxhash64("words"), *names).toArrow()
+    picked = [_picked(sets.where(F.col("fold") != k), names, features) for k in range(FOLDS)]
+    every = np.unique(np.concatenate((known, *picked)))
+    place = F.array_intersect("words", F.lit(every.astype(np.int64).tolist()).cast("array<long>"))
+    got = sets.select(*names, "fold", place.alias("words")).orderBy(F.xxhash64("words"), *names).toArrow()
     sets.unpersist()
     lists = got["words"].combine_chunks()
-    index = np.searchsorted(known, lists.flatten().to_numpy().astype(np.uint64))
+    index = np.searchsorted(every, lists.flatten().to_numpy().astype(np.uint64))
     bounds = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))))
-    x = Rows(index, np.ones(len(index)), bounds, len(known))
-    folds = np.arange(len(x)) % FOLDS
+    x = Rows(index, np.ones(len(index)), bounds, len(every))
+    parts = [x.only(np.isin(every, own)) for own in picked]
+    x = x.only(np.isin(every, known))
+    folds = got["fold"].to_numpy()
     earlier, weights = np.zeros((len(x), 0)), []
+    kept = np.isin(every, known)
     for c in names:
         y = got[c].to_numpy().astype(float)
         unseen = np.zeros(len(x))
-        for k in range(FOLDS):
+        for k, own in enumerate(parts):
             inside, out = folds != k, folds == k
             if out.any() and inside.any():
-                w = fit(x.take(inside), earlier[inside], y[inside], l2=L2)
-                unseen[out] = sigmoid(x.take(out).dot(w[: x.width]) + earlier[out] @ w[x.width : -1] + w[-1])
+                w = fit(own.take(inside), earlier[inside], y[inside], l2=L2)
+                unseen[out] = sigmoid(own.take(out).dot(w[: x.width]) + earlier[out] @ w[x.width : -1] + w[-1])
         if not len(x):
             weights.append(np.array([-8.0]))
             continue
-        weights.append(fit(x, earlier, y, l2=L2))
+        w = fit(x, earlier, y, l2=L2)
+        weights.append(np.concatenate((w[: x.width][kept], w[x.width :])))
         earlier = np.column_stack((earlier, unseen))
     return {"names": names, "known": known, "weights": weights}
 

@@ -189,6 +189,35 @@ def test_join_matches_all_pairs(spark, sample):
         assert by_id(ngram_join.join(docs_of(spark, rows), width, percent), "n_shingles", "component_id") == expected
 
 
+def test_quality_model_is_free_of_row_order(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    learned, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
+    first, again = quality.train(docs, learned), quality.train(docs.repartition(7), learned.repartition(3))
+    assert all(np.array_equal(first[k], again[k]) for k in first)
+    rows = quality.score(docs, first).join(held, "doc_id").collect()
+    assert sum((r["p_good"] >= 0.5) == bool(r["quality"]) for r in rows) >= 0.95 * len(rows)
+
+
+def test_quality_base_counts_of_documents(spark, sample):
+    """Each count by its own definition, over all texts."""
+    rows = [(r["doc_id"], r["text"]) for r in sample.collect()] + [(9000, None), (9001, "a b c " * 20 + "#\n" * 3)]
+    model = {"weights": np.zeros(quality.KINDS << quality.BITS, np.float32), "bias": 8.0, "a": 1.0, "b": 0.0}
+    found = {r["doc_id"]: r for r in quality.score(docs_of(spark, rows), model).collect()}
+    for doc_id, text in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        twice = {w for w, n in Counter(windows).items() if n > 1}
+        covered = {i + k for i, w in enumerate(windows) if w in twice for k in range(3)}
+        told = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+        got = found[doc_id]
+        assert tuple(got[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) == told
+        failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
+        assert (got["base_failed"], got["kept"]) == (failed, not failed)
+
+
 def test_quality_base_counts(spark):
     text = "a b c d a b c\nx y\nx y\n \n#tag <b> é|"
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
