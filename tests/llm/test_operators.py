@@ -623,14 +623,6 @@ def test_components(spark):
     assert sorted(map(tuple, found.collect())) == expected
 
 
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    total = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
-    assert 0.5 * total < rows.count() < total and rows.where("not round_trip").count() == 0
-
-
 def test_token_ids_of_random_texts():
     """Letters that change their length in lower case, marks, digits and foreign scripts at word ends."""
     path = public_tokenizers.path("word_bpe_49k.json")
