@@ -494,11 +494,11 @@ def similar_lines(lines, percent):
         for w in sorted(line, key=lambda w: (rare[w], w))[:prefix]:
             near.update(met.get(w, ()))
             met.setdefault(w, []).append(n)
-        own = np.array([code[w] for w in line])
+        own = [code[w] for w in line]
         for m in near:
             longest = max(len(line), len(lines[m]))
             if 100 * min(len(line), len(lines[m])) >= percent * longest:
-                other = np.array([code[w] for w in lines[m]])
+                other = [code[w] for w in lines[m]]
                 if 100 * (longest - line_dedup.edits(own, other)) >= percent * longest:
                     out.add((m, n))
     return out
@@ -560,14 +560,17 @@ def test_line_keys_find_similar_lines(spark, percent, share):
             edited.append((line, line[:k] + (lines[int(rng.integers(len(lines)))][0],) + line[k + 1 :]))
     pairs = [(lines[a], lines[b]) for a, b in similar_lines(lines, percent)]
 
-    def keys(line):
-        words, _ = line_dedup.word_hashes(" ".join(line).encode())
-        n = np.array([len(words)])
-        return line_dedup.keys_of(line_dedup.simhashes(words, n), n, words[:1], words[-1:])
+    def met(a, b):
+        own = [line_dedup.word_hashes(" ".join(x).encode())[0] for x in (a, b)]
+        sizes = [np.array([len(x)]) for x in own]
+        marks = [line_dedup.simhashes(x, n) for x, n in zip(own, sizes)]
+        keys = [line_dedup.keys_of(m, n, x[:1], x[-1:]) for m, n, x in zip(marks, sizes, own)]
+        near = line_dedup.Lines().near(sizes[0], [marks[0].tobytes()], sizes[1], [marks[1].tobytes()])
+        return bool((keys[0] == keys[1]).any()) and bool(near[0])
 
     for some in (pairs, edited):
-        found = sum(bool((keys(a) == keys(b)).any()) for a, b in some)
-        print(percent, len(some), found)
+        found = sum(met(a, b) for a, b in some)
+        print("recall", percent, len(some), found)
         assert found >= share * len(some)
 
 
@@ -580,7 +583,7 @@ def test_edits_match_table():
         for i in range(len(a)):
             for j in range(len(b)):
                 table[i + 1, j + 1] = min(table[i, j] + (a[i] != b[j]), table[i, j + 1] + 1, table[i + 1, j] + 1)
-        assert line_dedup.edits(a, b) == table[-1, -1]
+        assert line_dedup.edits(a.tolist(), b.tolist()) == table[-1, -1]
 
 
 def test_linked_sets_share_a_signature_and_marks_never_refute_them():
