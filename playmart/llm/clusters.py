@@ -12,8 +12,8 @@ pairs inside a component are never spelled out. Buckets with the same members co
 centre, and a large bucket, are dealt to many tasks: a task holds one item, or one block of
 marks, and reads one slice.
 
-A comparison is a class, named by module and name with its arguments: ``prepare(texts)`` gives
-a (node, item) each; ``linked(item, item)`` decides; ``near(sizes, marks, sizes, marks)`` is False for
+A comparison is a class, named by module and name with its arguments: ``prepare(column)`` gives
+a (node, item) for each entry of the column that ``fetch`` fetched; ``linked(item, item)`` decides; ``near(sizes, marks, sizes, marks)`` is False for
 pairs, row by row, that cannot be linked; ``block(sizes, marks)`` has ``near(size, mark)``, the same for one
 item against a block.
 """
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from playmart.operators.grouping import attach
 from playmart.operators.workspace import cut
 
-from .common import arrow_map, components, slices, texts
+from .common import arrow_map, components, slices
 
 #: Members one task compares with a centre.
 MEMBERS_PER_TASK = 128
@@ -70,9 +70,9 @@ def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
 def _compare(batches: Iterator[pa.RecordBatch], comparison: Comparison):
     """Rows sorted by (a, salt, member): a centre's own row, then its members."""
     tool, centre, held = _tool(comparison), None, None
-    for batch in slices(batches):
+    for batch in slices(batches, "item"):
         a, b = [], []
-        rows = zip(*(batch.column(n).to_pylist() for n in ("a", "node", "member")), tool.prepare(texts(batch)))
+        rows = zip(*(batch.column(n).to_pylist() for n in ("a", "node", "member")), tool.prepare(batch.column("item")))
         for c, node, member, (name, item) in rows:
             if name != node:
                 continue  # another text under a repeated id
@@ -151,7 +151,7 @@ def linked_components(
     """(node, component) of all nodes with a link.
 
     ``members`` are written buckets (signature, node, met); ``facts`` has (node, size, mark binary), one row a
-    node; ``fetch(nodes)`` gives (node, text) of a frame of nodes.
+    node; ``fetch(nodes)`` gives (node, item) of a frame of nodes.
     """
     known = cut(attach(facts, members.select("node").distinct(), ["node"], "left_semi"), "known")
     near = cut(_open_pairs(stars_of(members), known, comparison), "near")
@@ -180,7 +180,7 @@ def _verified(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], compari
     rows = members.union(centres)
     rows = attach(rows, fetch(rows.select("node").distinct()), ["node"], "inner")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
-    return arrow_map(rows.select("a", "node", "member", "text"), "a long, b long", _compare, comparison)
+    return arrow_map(rows.select("a", "node", "member", "item"), "a long, b long", _compare, comparison)
 
 
 def _across(members: DataFrame, known: DataFrame, found: DataFrame, comparison: Comparison) -> DataFrame:

@@ -54,10 +54,13 @@ def arrow_map(df: DataFrame, schema: str, target: Callable, *args) -> DataFrame:
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that each holds at most ``limit`` bytes of text (or of a list of numbers), or one row."""
     for batch in batches:
         if batch.num_rows:
-            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+            column = batch.column(text)
+            listed = pa.types.is_list(column.type)
+            sizes = pc.multiply(pc.list_value_length(column), 8) if listed else pc.binary_length(column)
+            sizes = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False)
             start, held = 0, 0
             for i, size in enumerate(sizes.tolist()):
                 if i > start and held + size > limit:

@@ -183,8 +183,8 @@ class ShingleSets:
     def __init__(self, width: int, percent: int):
         self.width, self.percent = width, percent
 
-    def prepare(self, rows: list[str]) -> list[tuple[int, np.ndarray]]:
-        return [(node_of(items), items) for items in (shingles(t, self.width) for t in rows)]
+    def prepare(self, column: pa.Array) -> list[tuple[int, np.ndarray]]:
+        return [(node_of(items), items) for items in (shingles(t or "", self.width) for t in column.to_pylist())]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         small, large = (a, b) if len(a) < len(b) else (b, a)
@@ -246,9 +246,9 @@ def node_components(docs: DataFrame, width: int, percent: int) -> tuple[DataFram
     first = cut(attach(facts, members.select("node").distinct(), ["node"], "left_semi"), "first")
 
     def fetch(nodes: DataFrame) -> DataFrame:
-        """(node, text), each from the first of its documents."""
+        """(node, item = text), each from the first of its documents."""
         wanted = cut(attach(first.select("node", "doc_id"), nodes, ["node"], "left_semi"), "wanted")
-        return cut(named.join(if_small(wanted), "doc_id").select("node", "text"), "texts")
+        return cut(named.join(if_small(wanted), "doc_id").select("node", F.col("text").alias("item")), "texts")
 
     comparison = (__name__, "ShingleSets", width, percent)
     return profile.drop("mark"), linked_components(members, first.drop("doc_id"), fetch, comparison)
