@@ -73,6 +73,11 @@ def artist_rows(songs: DataFrame, shared: Shared | None = None) -> DataFrame:
     return typed_artist_rows(artist_variants(songs, shared) if shared else songs).distinct()
 
 
+def artist_rows_once(songs: DataFrame) -> DataFrame:
+    """Typed artist rows of the distinct texts: a hash aggregate in front of picks that sort."""
+    return typed_artist_rows(artist_variants(songs))
+
+
 def artist_pairs(rows: DataFrame) -> DataFrame:
     return rows.select(*PAIR).distinct()
 

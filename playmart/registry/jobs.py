@@ -72,7 +72,7 @@ SELECT artist_name, geo.lat AS artist_latitude, geo.lon AS artist_longitude,
   FROM artist_row WHERE artist_name IS NOT NULL GROUP BY artist_name)""",
 )
 def best_attributes(spark, sf_dir):
-    rows = identity.typed_artist_rows(staging_songs(spark, sf_dir)).dropna(subset=["artist_name"])
+    rows = identity.artist_rows_once(staging_songs(spark, sf_dir)).dropna(subset=["artist_name"])
     return identity.best_attributes(rows, ["artist_name"])
 
 

@@ -598,7 +598,7 @@ WINDOW geo AS (PARTITION BY artist_id, artist_name ORDER BY artist_lat_long_scor
 )
 def first_value_frame(spark, sf_dir):
     """First value of each group in score order; a reduction, so no group is gathered."""
-    rows = identity.typed_artist_rows(songs(spark, sf_dir)).dropna(subset=identity.PAIR)
+    rows = identity.artist_rows_once(songs(spark, sf_dir)).dropna(subset=identity.PAIR)
     return identity.best_attributes(rows, identity.PAIR).drop("artist_location")
 
 
@@ -637,7 +637,7 @@ FROM artist_row WHERE artist_id IS NOT NULL AND artist_name IS NOT NULL""",
 )
 def two_partitionings(spark, sf_dir):
     """Two orders over one grouping: coordinates by their score, place by its own."""
-    rows = identity.typed_artist_rows(songs(spark, sf_dir)).dropna(subset=identity.PAIR)
+    rows = identity.artist_rows_once(songs(spark, sf_dir)).dropna(subset=identity.PAIR)
     return identity.best_attributes(rows, identity.PAIR).drop("artist_longitude")
 
 
