@@ -129,3 +129,30 @@ def test_landing_fails_when_rows_are_lost(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warehouse.versions, "move", lossy)
     with pytest.raises(RuntimeError, match="staging_events"):
         warehouse.land(spark, warehouse.Sources(log, songs, on_error="skip"), str(tmp_path / "out"))
+
+
+def test_one_line_of_many_objects_is_read_by_many_tasks(spark, settings, tmp_path):
+    settings(spark__sql__files__maxPartitionBytes="200000", spark__sql__files__openCostInBytes="1")
+    rng = random.Random(5)
+    texts = ['{"a":1}', "} and {", '\\"', "[{", "é", "\\"]
+    made = [json.dumps({"k": k, "t": rng.choice(texts), "in": {"x": rng.choice(texts) * 9}}) for k in range(14_000)]
+    text = " ".join(made)
+    assert len(text) > 3 * framing.CHUNK and "\n" not in text
+    (tmp_path / "a").write_text(text)
+    blocks = framing.read_blocks(spark, str(tmp_path))
+    assert blocks.rdd.getNumPartitions() > 3
+    assert blocks.selectExpr("max(octet_length(value))").first()[0] < 1000
+    assert found(spark, tmp_path) == {"a": sorted(made)}
+
+
+@pytest.mark.parametrize("k", range(2))
+def test_broken_files_are_cut_alike_in_blocks_of_any_size(spark, settings, tmp_path, k):
+    rng = random.Random(k)
+    parts = ['{"a":', '"b{"', "}", "\n", "\n{", "]", "[", '"', " x ", '{"ok":1}', "\r\n", '\n{"ok":2}\n', "{}", "\\\\"]
+    for n in range(3):
+        (tmp_path / f"f{n}").write_bytes("".join(rng.choice(parts) for _ in range(60)).encode())
+    (tmp_path / "cut").write_bytes(b'{"a":1}\n{')
+    whole = found(spark, tmp_path)
+    assert whole["cut"] == ["{", '{"a":1}']
+    settings(spark__sql__files__maxPartitionBytes="40", spark__sql__files__openCostInBytes="1")
+    assert found(spark, tmp_path) == whole
