@@ -119,14 +119,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         return {"weights": np.zeros(width, np.float32), "bias": 8.0, "a": 1.0, "b": 0.0}
     y = got["y"].to_numpy().astype(float)
     slots, freqs = (got[c].combine_chunks() for c in ("slots", "freqs"))
-    index = slots.flatten().to_numpy()
+    del got  # what is not needed any more goes at once: the sample is the driver's largest piece of memory
     bounds = np.concatenate(([0], np.cumsum(slots.value_lengths().to_numpy())))
-    used, index = np.unique(index, return_inverse=True)
-    x = Rows(index, freqs.flatten().to_numpy(), bounds, len(used))
+    index, values = slots.flatten().to_numpy(), freqs.flatten().to_numpy()
+    seen = np.zeros(width, bool)
+    seen[index] = True
+    used, index = np.flatnonzero(seen), (np.cumsum(seen) - 1)[index]
+    del slots
+    x = Rows(index, values, bounds, len(used))
     held = np.arange(len(y)) % 5 == 4
+    learned, other = x.take(~held), x.take(held)
+    del x, index, values, freqs
     none = np.zeros((len(y), 0))
-    w = fit(x.take(~held), none[~held], y[~held], l2=1e-5)
-    a, b = platt(x.take(held).dot(w[:-1]) + w[-1], y[held])
+    w = fit(learned, none[~held], y[~held], l2=1e-5)
+    a, b = platt(other.dot(w[:-1]) + w[-1], y[held])
     weights = np.zeros(width, np.float32)
     weights[used] = w[:-1]
     return {"weights": weights, "bias": float(w[-1]), "a": a, "b": b}
