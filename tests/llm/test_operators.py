@@ -560,18 +560,72 @@ def test_line_keys_find_similar_lines(spark, percent, share):
             edited.append((line, line[:k] + (lines[int(rng.integers(len(lines)))][0],) + line[k + 1 :]))
     pairs = [(lines[a], lines[b]) for a, b in similar_lines(lines, percent)]
 
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+
     def met(a, b):
         own = [line_dedup.word_hashes(" ".join(x).encode())[0] for x in (a, b)]
         sizes = [np.array([len(x)]) for x in own]
-        marks = [line_dedup.simhashes(x, n) for x, n in zip(own, sizes)]
-        keys = [line_dedup.keys_of(m, n, x[:1], x[-1:]) for m, n, x in zip(marks, sizes, own)]
-        near = line_dedup.Lines().near(sizes[0], [marks[0].tobytes()], sizes[1], [marks[1].tobytes()])
-        return bool((keys[0] == keys[1]).any()) and bool(near[0])
+        marks = [line_dedup.sketches(x, n) for x, n in zip(own, sizes)]
+        keys = [set(line_dedup.keys_of(x, n, none)[1].tolist()) for n, x in zip(sizes, own)]
+        near = line_dedup.Sketches().near(sizes[0], [marks[0].tobytes()], sizes[1], [marks[1].tobytes()])
+        return bool(keys[0] & keys[1]) and bool(near[0])
 
     for some in (pairs, edited):
         found = sum(met(a, b) for a, b in some)
         print("recall", percent, len(some), found)
         assert found >= share * len(some)
+        assert found == len(some)
+
+
+def edited_line(rng, line, word, percent):
+    """The line after as many edits, dealt over it, as leave a similarity of ``percent``."""
+    out = list(line)
+    for _ in range(rng.integers(1, len(line) // 4 + 1)):
+        now, k, how = list(out), int(rng.integers(len(out))), rng.integers(3)
+        now[k : k + (how < 2)] = [word()] if how else []
+        longest = max(len(now), len(line))
+        if min(len(now), len(line)) < line_dedup.FUZZY_WORDS:
+            continue
+        codes = {w: k for k, w in enumerate({*now, *line})}
+        if 100 * (longest - line_dedup.edits([codes[w] for w in line], [codes[w] for w in now])) < percent * longest:
+            break
+        out = now
+    return out
+
+
+def test_lines_of_the_least_similarity_meet():
+    """Every pair at PERCENT shares a key and is not refuted, at every length and in any order of grams."""
+    rng = np.random.default_rng(11)
+    word = lambda: f"w{rng.zipf(1.3) % 3000}"
+    for trial in range(3000):
+        a = [word() for _ in range(rng.integers(8, 40 if trial % 10 else 400))]
+        b = edited_line(rng, a, word, line_dedup.PERCENT)
+        own = [line_dedup.word_hashes(" ".join(x).encode())[0] for x in (a, b)]
+        often = np.unique(line_dedup.word_pairs(own[0])[::2])
+        frequent = (often, rng.integers(2, 50, len(often)))
+        sizes, words = np.array([len(a), len(b)]), np.concatenate(own)
+        line, keys = line_dedup.keys_of(words, sizes, frequent)
+        assert set(keys[line == 0].tolist()) & set(keys[line == 1].tolist())
+        marks = [m.tobytes() for m in line_dedup.sketches(words, sizes)]
+        assert line_dedup.Sketches().near(sizes[:1], marks[:1], sizes[1:], marks[1:])[0]
+
+
+def test_line_dedup_leaves_no_link_out(spark):
+    """Short lines at the threshold, where keys of SimHash blocks met two of three: exactly the groups of all pairs."""
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{rng.zipf(1.4) % 500}"
+    word = (lambda f: lambda: "".join(chr(97 + int(c)) for c in f()[1:]))(word)
+    rows = []
+    for doc_id in range(60):
+        own = []
+        for _ in range(6):
+            line = [word() for _ in range(rng.integers(8, 24))]
+            own += [" ".join(line), " ".join(edited_line(rng, line, word, line_dedup.PERCENT))]
+        rows.append((doc_id, "\n".join(own)))
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.report(docs_of(spark, rows)).collect()}
+    gone = line_parts(rows, line_dedup.PERCENT, line_dedup.FUZZY_WORDS)
+    assert len(gone) > 300
+    assert kept == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in rows}
 
 
 def test_edits_match_table():
