@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -118,6 +119,23 @@ def test_toxicity_on_labels(spark):
     assert held_out["names"] == ["poor", "toxic"] and len(held_out["weights"][1]) == len(held_out["weights"][0]) + 1
 
 
+def test_toxicity_of_inflected_words(spark):
+    """An insult is learnt by its stem when hardly any of its endings comes twice."""
+    rng = random.Random(5)
+    ending = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    rows, marks = [], []
+    for k in range(400):
+        bad = k % 4 == 0
+        said = [ending() + ending() for _ in range(30)] + ["bomen" + ending() for _ in range(3 * bad)]
+        rows.append((k, " ".join(rng.sample(said, len(said)))))
+        marks.append((k, 1, int(bad)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, labels.where("doc_id < 200"))
+    found = toxicity.score(docs, model).where("doc_id >= 200").collect()
+    assert [r["rejected"] for r in found] == [r["doc_id"] % 4 == 0 for r in found]
+
+
 def test_pieces_match_brute_force():
     tool = pieces.pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
     score = {}
