@@ -628,6 +628,29 @@ def test_lines_of_the_least_similarity_meet():
         assert line_dedup.Sketches().near(sizes[:1], marks[:1], sizes[1:], marks[1:])[0]
 
 
+def test_block_links_stay_below_the_members(spark):
+    """A bucket of n linked members in n components gives n - 1 links, not all pairs, and all its components."""
+    for n, groups in ((40, 1), (60, 4)):
+        lines = [[f"g{k % groups}w{i}" for i in range(30)] + [f"own{k}"] for k in range(n)]
+        words = [line_dedup.word_hashes(" ".join(x).lower().encode())[0] for x in lines]
+        sizes = np.array([len(w) for w in words])
+        nodes = line_dedup._nodes(np.concatenate(words), sizes).tolist()
+        marks = [m.tobytes() for m in line_dedup.sketches(np.concatenate(words), sizes)]
+        known = spark.createDataFrame([*zip(nodes, sizes.tolist(), marks)], "node long, size long, mark binary")
+        held = spark.createDataFrame([(x, w.astype(np.int64).tolist()) for x, w in zip(nodes, words)], "node long, item array<long>")
+        members = spark.createDataFrame([(s, x) for s in (1, 2) for x in nodes], "signature long, node long")
+        none = spark.createDataFrame([], "node long, component long")
+        tool = (line_dedup.__name__, "Sketches")
+        buckets = clusters._open_buckets(members, known, none, tool)
+        assert buckets.count() == n  # two buckets with equal members count once
+        fetch = lambda wanted: held.join(wanted, "node", "left_semi")
+        links = clusters._block_links(buckets, known, fetch, tool)
+        assert links.count() == n - groups
+        found = {r["node"]: r["component"] for r in common.components(links).collect()}
+        assert len(found) == n and all((found[a] == found[b]) == (i % groups == k % groups)
+                                       for i, a in enumerate(nodes) for k, b in enumerate(nodes))
+
+
 def test_line_dedup_leaves_no_link_out(spark):
     """Short lines at the threshold, where keys of SimHash blocks met two of three: exactly the groups of all pairs."""
     rng = np.random.default_rng(12)
