@@ -628,6 +628,41 @@ def test_lines_of_the_least_similarity_meet():
         assert line_dedup.Sketches().near(sizes[:1], marks[:1], sizes[1:], marks[1:])[0]
 
 
+def test_line_keys_are_few_and_shared_twice():
+    """Lines at PERCENT share two keys at places that fit, and a line of 58 words needs fewer than 24 (34 before)."""
+    rng = np.random.default_rng(21)
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    for trial in range(1500):
+        word = (lambda: f"w{rng.zipf(1.3) % 3000}") if trial % 3 else (lambda: f"u{rng.integers(1 << 40)}")
+        a = [word() for _ in range(rng.integers(8, 80))]
+        b = edited_line(rng, a, word, line_dedup.PERCENT)
+        own = [line_dedup.word_hashes(" ".join(x).encode())[0] for x in (a, b)]
+        line, keys, places = line_dedup.prefixes(np.concatenate(own), np.array([len(a), len(b)]), none)
+        met = [dict(zip(keys[line == n].tolist(), places[line == n].tolist())) for n in (0, 1)]
+        fit = 0
+        for p, q in ((met[0][k], met[1][k]) for k in met[0].keys() & met[1].keys()):
+            moved = abs((p >> 16) - (q >> 16)) + abs((p & 0xFFFF) - (q & 0xFFFF))
+            fit += p == 0 or q == 0 or moved <= line_dedup.allowed(max(len(a), len(b)))
+        assert fit >= line_dedup.SHARED
+    words = line_dedup.word_hashes(" ".join(f"u{k}" for k in range(58 * 500)).encode())[0]
+    assert len(line_dedup.keys_of(words, np.full(500, 58), none)[1]) < 24 * 500
+
+
+def test_keys_of_many_lines_get_a_centre():
+    """What a bucket of keys hands on is bounded by its entries: all pairs that fit, or a centre and the other lines."""
+    place = 3 << 16 | 20
+    held = [
+        [np.full(n, key, np.int32), np.arange(n) + 1000 * key, np.full(n, p, np.int32)]
+        for key, n, p in ((1, 5, place), (2, 200, place), (3, 700, 0), (4, 2, 0), (5, 1, place), (1, 5, place))
+    ]
+    held.append([np.array([5], np.int32), np.array([9]), np.array([18 << 16 | 5], np.int32)])  # stands elsewhere in its line
+    found = line_dedup._bucket_meetings(7, held).to_pylist()
+    pairs = {(r["a"], r["b"]) for r in found if r["signature"] is None}
+    assert pairs == {(1000 + i, 1000 + k) for k in range(5) for i in range(k)} | {(4000, 4001)}
+    stars = [(r["signature"], r["a"], r["b"]) for r in found if r["signature"] is not None]
+    assert sorted(stars) == [(7 << 32 | key, 1000 * key, 1000 * key + k) for key, n in ((2, 200), (3, 700)) for k in range(1, n)]
+
+
 def test_block_links_stay_below_the_members(spark):
     """A bucket of n linked members in n components gives n - 1 links, not all pairs, and all its components."""
     for n, groups in ((40, 1), (60, 4)):
