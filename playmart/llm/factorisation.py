@@ -140,14 +140,23 @@ class Rows:
         return out
 
 
+def _products(dense: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``dense @ table``, summed in the same order whatever the number of rows, so that equal rows get equal sums."""
+    out = np.zeros((len(dense), table.shape[1]))
+    for k in range(dense.shape[1]):
+        out += dense[:, k, None] * table[k]
+    return out
+
+
 def raw_scores(model: dict, rows: Rows) -> tuple[np.ndarray, np.ndarray]:
     """(z, factor sums) of rows, in time linear in their inputs."""
     scale = rows.weight[:, None]
-    linear = rows.word_sums(model["w"][:SLOTS, None])[:, 0] * rows.weight + rows.dense @ model["w"][SLOTS:]
+    linear = rows.word_sums(model["w"][:SLOTS, None])[:, 0] * rows.weight
+    linear += _products(rows.dense, model["w"][SLOTS:, None])[:, 0]
     v = model["v"]
-    sums = rows.word_sums(v[:SLOTS]) * scale + rows.dense @ v[SLOTS:]
-    squares = rows.word_sums(v[:SLOTS] ** 2) * scale**2 + rows.dense**2 @ v[SLOTS:] ** 2
-    return model["bias"] + linear + 0.5 * (sums**2 - squares).sum(axis=1), sums
+    sums = rows.word_sums(v[:SLOTS]) * scale + _products(rows.dense, v[SLOTS:])
+    squares = rows.word_sums(v[:SLOTS] ** 2) * scale**2 + _products(rows.dense**2, v[SLOTS:] ** 2)
+    return model["bias"] + linear + 0.5 * _products(sums**2 - squares, np.ones((v.shape[1], 1)))[:, 0], sums
 
 
 def _gradient(model: dict, rows: Rows, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:

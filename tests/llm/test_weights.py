@@ -145,6 +145,20 @@ def test_machine_on_held_out_rows(spark):
     assert all(np.array_equal(first[k], again[k]) for k in first)
 
 
+def test_machine_scores_do_not_depend_on_the_batch():
+    """A row's score is the same number alone, in a small batch and in a large one."""
+    rng = np.random.default_rng(8)
+    width = len(factorisation.STATISTICS) + 1
+    slots = [np.unique(rng.integers(0, factorisation.SLOTS, rng.integers(0, 60))).astype(np.int32) for _ in range(400)]
+    dense = rng.normal(size=(400, width))
+    model = {"w": rng.normal(size=factorisation.SLOTS + width), "bias": 0.1}
+    model["v"] = rng.normal(0, 0.1, (factorisation.SLOTS + width, factorisation.RANK))
+    every = factorisation.raw_scores(model, factorisation.Rows(slots, dense))[0]
+    for size in (1, 2, 7, 64):
+        parts = [factorisation.Rows(slots[k : k + size], dense[k : k + size]) for k in range(0, 400, size)]
+        assert np.array_equal(every, np.concatenate([factorisation.raw_scores(model, rows)[0] for rows in parts]))
+
+
 def test_machine_awkward(spark):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     train_docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
